@@ -23,7 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coppice.functions.tiles import block_tree, bridges, columns, coordinates, distances
+from coppice.functions.tiles import (
+    block_tree,
+    bridges,
+    columns,
+    coordinates,
+    distances,
+    edge_table,
+    halves,
+)
 from coppice.functions.vectors import edge_key
 from coppice.operators.blocks import (
     BLOCK_ROWS,
@@ -142,12 +150,12 @@ def _grow_block(table: pa.Table) -> pa.Table:
 
 
 def _join_blocks(table: pa.Table) -> pa.Table:
-    (side,) = columns(table, "side")
-    halves = [table.filter(pa.array(side == s)) for s in (0, 1)]
-    ids, ups, weights = zip(*[columns(h, "id", "up", "up_w") for h in halves])
-    dist = distances(coordinates(halves[0]), coordinates(halves[1]))
-    u, v, w = bridges(dist, ids, ups, weights)
-    return pa.table({"u": u, "v": v, "w": w})
+    left, right, _ = halves(table)
+    if not len(left) or not len(right):
+        return edge_table([], [], [])
+    ids, ups, weights = zip(*[columns(h, "id", "up", "up_w") for h in (left, right)])
+    dist = distances(coordinates(left), coordinates(right))
+    return edge_table(*bridges(dist, ids, ups, weights))
 
 
 @dataclass
