@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coppice.store import Store
@@ -38,3 +38,27 @@ def global_rank(df: DataFrame, keys: list[str], store: Store, name: str = "rank"
         .withColumn(name, F.col("_at") + F.col("_shift"))
         .drop("_at", "_p", "_shift")
     )
+
+
+def running_total(df: DataFrame, keys: list[str], amount: str, store: Store) -> DataFrame:
+    """Add ``before``: the sum of ``amount`` over all rows that sort before this one.
+
+    Like ``global_rank``: sums run inside the range partitions, and one total per
+    partition reaches the driver.
+    """
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    part = F.shiftright(F.monotonically_increasing_id(), ROW_BITS)
+    written = store.keep(ordered.withColumn("_p", part), "ordered")
+    totals = written.groupBy("_p").agg(F.sum(amount).alias("t")).orderBy("_p").collect()
+    before = [0, *accumulate(r["t"] for r in totals)][: len(totals)]
+    offsets = df.sparkSession.createDataFrame(
+        [(r["_p"], at) for r, at in zip(totals, before)], "_p long, _start long"
+    )
+    inside = Window.partitionBy("_p").orderBy(*keys)
+    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        written.withColumn("_sum", F.sum(amount).over(inside) - F.col(amount))
+        .join(F.broadcast(offsets), "_p")
+        .withColumn("before", F.col("_sum") + F.col("_start"))
+        .drop("_p", "_sum", "_start")
+    )

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coppice.functions.classify import ratio
+from coppice.operators.rank import running_total
+from coppice.store import Store
 
 # The key columns of a configuration and the series of the reports.
 CONFIG = [
@@ -27,17 +29,36 @@ RANDOM_PREFIX = "random_n"
 
 
 def median_per_config(
-    log: DataFrame, keys: list[str] = CONFIG, value: str = "runtime_ms"
+    log: DataFrame, keys: list[str] = CONFIG, value: str = "runtime_ms", name: str | None = None
 ) -> DataFrame:
     """Exact median and repetition count per configuration; failed runs are left out.
 
-    Equal values are counted first, so what is held per configuration is its
-    distinct values, and a null key is a key like any other.
+    Equal values are counted before the shuffle and the counted values are sorted
+    over all partitions, so a configuration with most of the rows is spread like
+    any other. The middle values are those whose span of positions holds the
+    middle position. A null key is a key like any other.
     """
+    store = Store(log.sparkSession, "median")
     counted = log.dropna(subset=[value]).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("times"))
-    return counted.groupBy(*keys).agg(
-        F.sum("times").alias("reps"),
-        F.expr(f"percentile(`{value}`, 0.5, times)").alias(f"median_{value}"),
+    spans = running_total(counted, [*keys, value], "times", store)
+    after = F.col("before") + F.col("times")
+    groups = spans.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.min("before").alias("first"), F.max(after).alias("end")
+    )
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    reps = F.col("end") - F.col("first")
+    holds = [
+        (F.col("before") <= middle) & (middle < after)
+        for middle in (
+            F.col("first") + F.floor((reps - 1) / 2), F.col("first") + F.floor(reps / 2)
+        )
+    ]
+    middles = spans.join(groups, same).where(holds[0] | holds[1])
+    return middles.groupBy(*keys).agg(
+        F.max(reps).alias("reps"),
+        ((F.min(value) + F.max(value)) / 2).alias(name or f"median_{value}"),
     )
 
 
