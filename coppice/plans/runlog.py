@@ -27,19 +27,34 @@ SPEEDUP_SETS = ["random_n500", "random_n2000", "random_n5000", "complex9", "optd
 THREADS = [1, 2, 3, 4, 8, 12, 16]
 RANDOM_PREFIX = "random_n"
 
+GROUP_ROWS = 1_000_000  # rows of one configuration that the built-in median may hold
+
 
 def median_per_config(
-    log: DataFrame, keys: list[str] = CONFIG, value: str = "runtime_ms", name: str | None = None
+    log: DataFrame,
+    keys: list[str] = CONFIG,
+    value: str = "runtime_ms",
+    name: str | None = None,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Exact median and repetition count per configuration; failed runs are left out.
 
-    Equal values are counted before the shuffle and the counted values are sorted
-    over all partitions, so a configuration with most of the rows is spread like
-    any other. The middle values are those whose span of positions holds the
+    The built-in median holds the values of a group in one task, so it is used
+    only when no configuration has more than ``group_rows`` rows. Beyond that,
+    equal values are counted before the shuffle and the counted values are sorted
+    over all partitions, so that a configuration with most of the rows is spread
+    like any other; the middle values are those whose span of positions holds the
     middle position. A null key is a key like any other.
     """
+    name = name or f"median_{value}"
+    timed = log.dropna(subset=[value]).select(*keys, value)
+    largest = timed.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if largest <= group_rows:
+        return timed.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("reps"), F.median(value).alias(name)
+        )
     store = Store(log.sparkSession, "median")
-    counted = log.dropna(subset=[value]).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("times"))
+    counted = timed.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("times"))
     spans = running_total(counted, [*keys, value], "times", store)
     after = F.col("before") + F.col("times")
     groups = spans.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
@@ -58,7 +73,7 @@ def median_per_config(
     middles = spans.join(groups, same).where(holds[0] | holds[1])
     return middles.groupBy(*keys).agg(
         F.max(reps).alias("reps"),
-        ((F.min(value) + F.max(value)) / 2).alias(name or f"median_{value}"),
+        ((F.min(value) + F.max(value)) / 2).alias(name),
     )
 
 
