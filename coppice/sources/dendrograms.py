@@ -48,4 +48,5 @@ def read_exchange(spark: SparkSession, path: str) -> DataFrame:
     from coppice.sources.points import number_rows
 
     rows = spark.read.schema(EXCHANGE).option("mode", "FAILFAST").csv(path, header=True)
-    return number_rows(rows, EXCHANGE_COLUMNS).withColumnRenamed("id", "step")
+    numbered = number_rows(rows, EXCHANGE_COLUMNS)
+    return numbered.select(F.col("id").alias("step"), *EXCHANGE_COLUMNS)
