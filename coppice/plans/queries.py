@@ -236,6 +236,16 @@ def dendrogram_diff(spark, folder):
     return different.withColumn("one", F.lit(1)).join(merges.withColumn("one", F.lit(1)), "one").drop("one")
 
 
+def single_linkage_orders(spark, folder):
+    """The largest point set: price (thousands) against day."""
+    rows = _table(spark, folder, "orders").select(
+        "o_orderkey",
+        (F.col("o_totalprice") / 1000).alias("price"),
+        (F.unix_timestamp("o_orderdate") / 86400).alias("day"),
+    )
+    return _rounded(dendrogram.single_linkage(points.as_points(rows, "o_orderkey")), "distance")
+
+
 # --- sources and converters --------------------------------------------------
 
 
@@ -421,7 +431,7 @@ QUERIES: dict[str, Query] = {
         pairwise_distance, distance_column, closest_pair, nearest_neighbor, nearest_neighbor_ties,
         lance_williams_update, connected_components, mst_cluster_sizes, component_count,
         euclidean_mst, euclidean_mst_ties, euclidean_mst_plane, single_linkage, complete_linkage,
-        average_linkage, single_linkage_ties, complete_linkage_ties, dendrogram_top, slot_tree_ids,
+        average_linkage, single_linkage_orders, single_linkage_ties, complete_linkage_ties, dendrogram_top, slot_tree_ids,
         tree_slot_ids, dendrogram_roundtrip, exchange_roundtrip, flat_clusters_k,
         flat_clusters_single, cluster_label_attach, compare_heights, dendrogram_diff,
         read_points_csv, dataset_profile, table_profile, label_encode, convert_points,
