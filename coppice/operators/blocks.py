@@ -229,16 +229,18 @@ def send_to_tiles(placed: DataFrame, tile_list: DataFrame, count: int) -> DataFr
     other = tile_list.where((F.col("p") < F.col("q")) | (F.col("i") < F.col("j")))
     ends = ends.union(other.select(*TILE, "q", "j", F.lit(1)))
     block = ["node", "chunk"]
-    lanes = ends.groupBy(*block).agg(
-        F.ceil(F.count(F.lit(1)) / TILES_PER_LANE).cast("long").alias("lanes")
-    )
-    ends = ends.join(lanes, block).withColumn(
-        "lane", F.pmod(F.xxhash64(*TILE, "side"), F.col("lanes"))
-    )
-    copies = placed.join(lanes, block).withColumn(
-        "lane", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1))
-    )
-    sent = copies.drop("lanes").join(ends.drop("lanes"), [*block, "lane"]).drop("lane", *block)
+    if count > TILES_PER_LANE:  # with fewer tiles no block can be wanted more often
+        lanes = ends.groupBy(*block).agg(
+            F.ceil(F.count(F.lit(1)) / TILES_PER_LANE).cast("long").alias("lanes")
+        )
+        ends = ends.join(lanes, block).withColumn(
+            "lane", F.pmod(F.xxhash64(*TILE, "side"), F.col("lanes"))
+        )
+        placed = placed.join(lanes, block).withColumn(
+            "lane", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1))
+        )
+        block.append("lane")
+    sent = placed.drop("lanes").join(ends.drop("lanes"), block).drop(*block)
     parallel = placed.sparkSession.sparkContext.defaultParallelism
     tasks = max(min(count, 3 * parallel), math.ceil(count / TILES_PER_TASK))
     return sent.repartition(max(1, tasks), *TILE)
