@@ -77,14 +77,16 @@ def distinct_points(checked: Checked, store: Store) -> tuple[DataFrame, DataFram
     if count == checked.rows:
         return reps, None, count
     many = reps.where("copies > 1").select(F.col("id").alias("u"), "features", "copies")
-    hot = F.broadcast(many.where(F.col("copies") * HOT_SHARE > checked.rows))
-    cold = many.where(F.col("copies") * HOT_SHARE <= checked.rows)
-    links = (
-        points.join(hot, "features")
-        .unionByName(points.join(hot, "features", "left_anti").join(cold, "features"))
-        .where("id <> u")
-        .select("u", F.col("id").alias("v"))
-    )
+    hot = many.where(F.col("copies") * HOT_SHARE > checked.rows)
+    if hot.isEmpty():
+        links = points.join(many, "features")
+    else:
+        cold = many.where(F.col("copies") * HOT_SHARE <= checked.rows)
+        hot = F.broadcast(hot)
+        links = points.join(hot, "features").unionByName(
+            points.join(hot, "features", "left_anti").join(cold, "features")
+        )
+    links = links.where("id <> u").select("u", F.col("id").alias("v"))
     return reps, store.keep(links, "copies"), count
 
 

@@ -85,7 +85,11 @@ def with_speedup(
     name: str = "speedup_vs_1_thread",
     measured: Column | None = None,
 ) -> DataFrame:
-    """Add the value at degree 1 over the own value; rows outside ``measured`` get null."""
+    """Add the value at degree 1 over the own value; rows outside ``measured`` get null.
+
+    The medians are written once, so the log behind them is not read twice.
+    """
+    medians = Store(medians.sparkSession, "speedup").keep(medians, "medians")
     measured = F.col(degree).isNotNull() if measured is None else measured
     base = medians.where(measured & (F.col(degree) == 1)).select(
         *keys, F.col(value).alias("base_value")

@@ -25,11 +25,8 @@ def encode_labels(table: DataFrame, column: str, name: str = LABEL) -> DataFrame
     store = Store(table.sparkSession, "labels")
     values = table.select(column).where(F.col(column).isNotNull()).distinct()
     codes = global_rank(values, [column], store, name)
-    known = table.where(F.col(column).isNotNull()).join(
-        codes.withColumn(name, F.col(name).cast("int")), column
-    )
-    unknown = table.where(F.col(column).isNull()).withColumn(name, F.lit(-1))
-    return known.unionByName(unknown)
+    coded = table.join(codes.withColumn(name, F.col(name).cast("int")), column, "left")
+    return coded.withColumn(name, F.coalesce(name, F.lit(-1)))
 
 
 def convert_labelled(table: DataFrame, keep: list[str] | None = None) -> DataFrame:
