@@ -163,8 +163,8 @@ comps AS (SELECT id, min(id) OVER (PARTITION BY root) AS comp FROM rooted)"""
 LOG = """
 lines AS (
   SELECT *,
-    CASE WHEN l_linestatus = 'F' THEN 'hc_matrix_CUDA'
-         WHEN l_discount < 0.05 THEN 'hc_mst_cpu' ELSE 'hc_matrix_cpu' END AS executable,
+    CASE WHEN l_linestatus = 'F' THEN 'matrix_CUDA'
+         WHEN l_discount < 0.05 THEN 'mst_cpu' ELSE 'matrix_cpu' END AS executable,
     CASE WHEN l_returnflag = 'A' THEN 'random_n500' WHEN l_returnflag = 'N' THEN 'donut3'
          WHEN l_quantity > 25 THEN 'optdigits' ELSE 'mixed' END AS dataset
   FROM lineitem),

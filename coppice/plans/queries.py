@@ -303,7 +303,7 @@ def _log(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines in the shape of a run log: one run per line."""
     rows = _table(spark, folder, "lineitem")
     cuda = F.col("l_linestatus") == "F"
-    name = F.when(cuda, "hc_matrix_CUDA").when(F.col("l_discount") < 0.05, "hc_mst_cpu").otherwise("hc_matrix_cpu")
+    name = F.when(cuda, "matrix_CUDA").when(F.col("l_discount") < 0.05, "mst_cpu").otherwise("matrix_cpu")
     dataset = (
         F.when(F.col("l_returnflag") == "A", "random_n500")
         .when(F.col("l_returnflag") == "N", "donut3")

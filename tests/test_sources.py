@@ -72,12 +72,12 @@ def test_dendrogram_files(spark, tmp_path):
 
 LOG = [
     # executable, dataset, n, threads, block size, runtime
-    ("hc_mst_cpu", "random_n500", 500, 1, None, 10.0),
-    ("hc_mst_cpu", "random_n500", 500, 1, None, 14.0),
-    ("hc_mst_cpu", "random_n500", 500, 2, None, 6.0),
-    ("hc_mst_cpu", "random_n500", 500, 2, None, None),
-    ("hc_mst_cpu", "donut3", 999, 2, None, 9.0),
-    ("hc_matrix_cuda", "donut3", 999, None, 64, 3.0),
+    ("mst_cpu", "random_n500", 500, 1, None, 10.0),
+    ("mst_cpu", "random_n500", 500, 1, None, 14.0),
+    ("mst_cpu", "random_n500", 500, 2, None, 6.0),
+    ("mst_cpu", "random_n500", 500, 2, None, None),
+    ("mst_cpu", "donut3", 999, 2, None, 9.0),
+    ("matrix_cuda", "donut3", 999, None, 64, 3.0),
 ]
 
 
@@ -102,15 +102,15 @@ def test_summary(spark):
         for r in runlog.summarize(log).collect()
     }
     assert found == {
-        ("hc_mst_cpu", "random_n500", 1, None): (2, 12.0, 1.0),
-        ("hc_mst_cpu", "random_n500", 2, None): (1, 6.0, 2.0),
-        ("hc_mst_cpu", "donut3", 2, None): (1, 9.0, None),
-        ("hc_matrix_cuda", "donut3", None, 64): (1, 3.0, None),
+        ("mst_cpu", "random_n500", 1, None): (2, 12.0, 1.0),
+        ("mst_cpu", "random_n500", 2, None): (1, 6.0, 2.0),
+        ("mst_cpu", "donut3", 2, None): (1, 9.0, None),
+        ("matrix_cuda", "donut3", None, 64): (1, 3.0, None),
     }
     grid = runlog.pivot_median(log.where("threads is not null"), order="n").collect()
     assert [tuple(r) for r in grid] == [("random_n500", 12.0, 6.0), ("donut3", None, 9.0)]
     assert runlog.plane_series(runlog.summarize(log)).count() == 2
-    assert runlog.runtime_series(log, "hc_mst_cpu").count() == 4
+    assert runlog.runtime_series(log, "mst_cpu").count() == 4
 
 
 def test_spread_median_is_the_same(spark):
@@ -147,15 +147,15 @@ def test_text_functions(spark):
     assert [r[0] for r in found] == [150.0, None, None]
     assert found[2][1] == 300
     one = spark.range(1).select(
-        command_line(F.lit("hc"), F.lit("--threads"), F.lit(4)),
+        command_line(F.lit("run"), F.lit("--threads"), F.lit(4)),
         missing_as_empty(F.lit(None).cast("int")),
         ratio(F.lit(0.0), F.lit(2.0)),
         ratio(F.lit(6.0), F.lit(2.0)),
-        is_mst(F.lit("HC_MST")),
+        is_mst(F.lit("MST_CPU")),
         *[dataset_source(F.lit(n)) for n in ("complex9", "optdigits", "random_n7", "other")],
     )
     assert tuple(one.first()) == (
-        "hc --threads 4", "", None, 3.0, True, "milaan9 structured dataset",
+        "run --threads 4", "", None, 3.0, True, "milaan9 structured dataset",
         "UCI Optical Recognition of Handwritten Digits", "synthetic random 2D dataset", "unknown",
     )
 
