@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 
 from coppice.store import Store
 
-HOPS = 3
+def hop(links: DataFrame) -> DataFrame:
+    """Follow ``(id, up)`` pointers one step, which doubles the distance they cover; ``moved`` tells which did."""
+    ahead = links.select(F.col("id").alias("up"), F.col("up").alias("next"))
+    onward = F.coalesce("next", "up")
+    return links.join(ahead, "up", "left").select(
+        "id", onward.alias("up"), (onward != F.col("up")).alias("moved")
+    )
 
 
-def hop(links: DataFrame, times: int = HOPS) -> DataFrame:
-    """Follow ``(id, up)`` pointers: each time doubles the distance covered."""
-    for _ in range(times):
-        ahead = links.select(F.col("id").alias("up"), F.col("up").alias("next"))
-        links = links.join(ahead, "up", "left").select(
-            "id", F.coalesce("next", "up").alias("up")
-        )
-    return links
+def follow_to_end(links: DataFrame, store: Store) -> DataFrame:
+    """Pointers of a forest, each to its root, after a logarithmic number of written steps."""
+    links = store.keep(hop(links.select("id", "up")), "hops")
+    while not links.where("moved").isEmpty():
+        links = store.keep(hop(links.select("id", "up")), "hops")
+    return links.select("id", "up")
 
 
 def connected_components(
@@ -30,9 +34,11 @@ def connected_components(
     """``(id, comp)`` where ``comp`` is the smallest id of the component.
 
     ``vertices(id)`` adds vertices without an edge. A round lets every vertex hook
-    to its smallest neighbour, follows a few hooks, relabels the edges, and drops
-    loops and repeats. Hooks only ever go to a smaller id, so the smallest one
-    stays, and the larger end of every edge hooks, so each round shrinks the graph. A hub costs one row per task before the shuffle (``min`` is
+    to its smallest neighbour, follows the hooks to their roots by doubling, relabels
+    the edges, and drops loops and repeats. Hooks only ever go to a smaller id, so the
+    smallest one stays, and the larger end of every edge hooks, so each round shrinks
+    the graph: a chain in the order of its ids takes one round of a logarithmic number
+    of doublings. A hub costs one row per task before the shuffle (``min`` is
     pre-aggregated); its relabel join is one that adaptive skew handling splits,
     because the other side holds one row per vertex.
     """
@@ -43,16 +49,18 @@ def connected_components(
     if vertices is not None:
         every = every.union(vertices.select("id"))
     live = store.keep(pairs.where("a <> b").distinct(), "edges")
-    hooks: list[DataFrame] = []
+    roots = None
     while not live.isEmpty():
         both = live.union(live.select("b", "a"))
         up = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
         links = store.keep(up.select("id", F.least("id", "m").alias("up")), "links")
-        links = store.keep(hop(links), "hooks")
-        hooks.append(links)
+        links = follow_to_end(links, store)
         live = store.keep(_relabel(live, links), "edges")
-    comp = every.distinct().withColumn("comp", F.col("id"))
-    return store.keep(_follow(comp, hooks), "components")
+        roots = links if roots is None else store.keep(_compose(roots, links), "roots")
+    comp = every.distinct()
+    if roots is None:
+        return comp.withColumn("comp", F.col("id"))
+    return store.keep(comp.join(roots, "id", "left").select("id", F.coalesce("up", "id").alias("comp")), "components")
 
 
 def _relabel(edges: DataFrame, links: DataFrame) -> DataFrame:
@@ -67,11 +75,10 @@ def _relabel(edges: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def _follow(comp: DataFrame, hooks: list[DataFrame]) -> DataFrame:
-    for links in hooks:
-        step = links.select(F.col("id").alias("comp"), "up")
-        comp = comp.join(step, "comp", "left").select("id", F.coalesce("up", "comp").alias("comp"))
-    return comp
+def _compose(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Every vertex of the first round with its root after one more round."""
+    step = links.select(F.col("id").alias("up"), F.col("up").alias("next"))
+    return roots.join(step, "up", "left").select("id", F.coalesce("next", "up").alias("up"))
 
 
 def component_sizes(components: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ from coppice.operators.blocks import (
     send_to_tiles,
     tiles,
 )
-from coppice.operators.components import hop
+from coppice.operators.components import follow_to_end
 from coppice.store import Store, empty
 
 EDGES = "u long, v long, w double"
@@ -219,7 +219,7 @@ class _Forest:
         up = picks.join(back, "to").select(
             "id", F.when(stays, F.col("id")).otherwise(F.col("to")).alias("up")
         )
-        return self.store.keep(hop(self.store.keep(up, "up")), "moves")
+        return follow_to_end(self.store.keep(up, "up"), self.store)
 
     def _finish(self, live: DataFrame) -> DataFrame:
         """Settle a contracted remainder of at most ``tail_edges`` edges in one task."""
