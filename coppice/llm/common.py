@@ -17,6 +17,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Rows of one Arrow batch; with the default of 10,000 rows a batch of documents takes some 100 MB in a worker.
+BATCH_ROWS = 1_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lets the session send at most ``BATCH_ROWS`` rows to a Python worker at a time."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting, "10000")) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 def text_or_empty(column: str) -> Column:
     """A null text counts as an empty one."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -196,22 +197,31 @@ def hits_column(
     """
     context = benchmark.sparkSession.sparkContext
     shards = [
-        context.broadcast(Automaton(items, window))
+        context.broadcast(cloudpickle.dumps(Automaton(items, window)))
         for items in _packed(benchmark, item_id_col, item_text_col, shard_words)
     ]
 
+    held: dict[int, Automaton] = {}
+
+    def automaton(number: int) -> Automaton:
+        """One at a time in a task, so that many shards take no more memory than one."""
+        if number not in held:
+            held.clear()
+            held[number] = cloudpickle.loads(shards[number].value)
+        return held[number]
+
     @F.arrow_udf("struct<n_words: bigint, n_hit: bigint, spans: array<array<int>>, items: array<string>>")
     def hits(texts: pa.Array) -> pa.Array:
         texts = texts.to_pylist()
         spans = [[] for _ in texts]
         items = [set() for _ in texts]
         n_words = [0] * len(texts)
-        for shard in shards or [None]:
+        for shard in range(max(1, len(shards))):
             for k, text in enumerate(texts):
                 words = words_of(text)
                 n_words[k] = len(words)
-                if shard:
-                    found, names = shard.value.scan(words)
+                if shards:
+                    found, names = automaton(shard).scan(words)
                     spans[k] = _merged(spans[k] + found) if spans[k] else found
                     items[k] |= names
         columns = [

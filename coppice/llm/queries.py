@@ -7,12 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coppice.llm import decontaminate, pii, sentencepiece_bpe, simhash, toxicity
-from coppice.llm.common import table
+from coppice.llm import (
+    decontaminate,
+    html_extract,
+    idstore,
+    licenses,
+    maxscore,
+    pii,
+    repeats,
+    sentencepiece_bpe,
+    simhash,
+    toxicity,
+)
+from coppice.llm.common import bounded_batches
+from coppice.llm.common import table as read_table
+from coppice.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+SEARCH_EVERY = 50
+SEARCH_K = 5
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    bounded_batches(spark)
+    return read_table(spark, folder, name)
+
+
 def held_out(id_col: str = "doc_id"):
     """The fifth of the documents whose labels are never learnt from."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -22,6 +44,19 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
 
+def op2_html(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    text = html_extract.extract_column(html_extract.fit(pages), "html")
+    return pages.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op3_maxscore(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = maxscore.integer_vectors(table(spark, folder, "embeddings"))
+    queries = vectors.where(F.col("id") % SEARCH_EVERY == 0)
+    found = maxscore.top_k(vectors, queries, SEARCH_K)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.fit(docs, table(spark, folder, "labels").where(~held_out()))
@@ -46,15 +81,34 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_column("fp").alias("fingerprint"), "component_id")
 
 
+def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op9_idstore(spark: SparkSession, folder: str) -> DataFrame:
+    return idstore.write_and_read(table(spark, folder, "documents"), Store(spark, "idstore"))
+
+
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
+    "op2_html": op2_html,
+    "op3_maxscore": op3_maxscore,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
+    "op7_licenses": op7_licenses,
+    "op8_repeats": op8_repeats,
+    "op9_idstore": op9_idstore,
     "op10_sentencepiece": op10_sentencepiece,
 }
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from coppice.llm.common import per_worker, sha256_text, text_or_empty
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
 #: Parts that a worker keeps; it starts anew beyond that, so its memory is bounded.
-KEPT_PARTS = 400_000
+KEPT_PARTS = 150_000
 
 
 class Pieces:
@@ -164,43 +165,42 @@ def _units(model_file: str | None) -> Units:
 
 
 def encode_column(text_col: str = "text", model_file: str | None = None, check: bool = True):
-    """A column ``struct<n_tokens, ids, ids_sha256, decoded, decoded_sha256>`` of a text column."""
+    """A column ``struct<n_tokens, ids_sha256, decoded_sha256, ids>`` of a text column."""
     return _encoder(model_file, check, True)(text_or_empty(text_col))
 
 
 def digest_column(text_col: str = "text", model_file: str | None = None, check: bool = True):
-    """As ``encode_column`` but with the lengths and digests only."""
+    """As ``encode_column`` but without the ids."""
     return _encoder(model_file, check, False)(text_or_empty(text_col))
 
 
-def _encoder(model_file: str | None, check: bool, whole: bool):
-    fields = "n_tokens: bigint, ids_sha256: string, decoded_sha256: string"
-    fields += ", ids: array<int>, decoded: string" * whole
+def _encoder(model_file: str | None, check: bool, with_ids: bool):
+    fields = "n_tokens: bigint, ids_sha256: string, decoded_sha256: string" + ", ids: array<int>" * with_ids
 
     @F.arrow_udf(f"struct<{fields}>")
     def encode(texts: pa.Array) -> pa.Array:
         units = _units(model_file)
-        columns: list[list] = [[], [], [], [], []]
-        for text in texts.to_pylist():
-            ids, decoded = units.encode(text)
-            columns[0].append(ids.count(",") + 1 if ids else 0)
-            columns[1].append(sha256_text(ids))
-            columns[2].append(sha256_text(decoded))
-            if whole:
-                columns[3].append([int(i) for i in ids.split(",")] if ids else [])
-                columns[4].append(decoded)
+        counts, digests, decoded_digests, raw = [], [], [], []
+        for text in texts:
+            ids, decoded = units.encode(text.as_py())
+            counts.append(ids.count(",") + 1 if ids else 0)
+            digests.append(sha256_text(ids))
+            decoded_digests.append(sha256_text(decoded))
+            if with_ids:
+                raw.append(np.fromstring(ids, dtype=np.int32, sep=",") if ids else np.zeros(0, np.int32))
         units.settle(check)
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()]
-        names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]
-        n = 5 if whole else 3
-        arrays = [pa.array(c, k) for c, k in zip(columns[:n], kinds)]
-        return pa.StructArray.from_arrays(arrays, names[:n])
+        arrays = [pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded_digests, pa.string())]
+        if with_ids:
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            values = np.concatenate(raw) if raw else np.zeros(0, np.int32)
+            arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32())))
+        return pa.StructArray.from_arrays(arrays, ["n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(arrays)])
 
     return encode
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_file: str | None = None) -> DataFrame:
-    """``id_col, n_tokens, ids, decoded`` and both digests for every row."""
+    """``id_col, n_tokens, ids_sha256, decoded_sha256, ids`` for every row."""
     coded = docs.select(id_col, encode_column(text_col, model_file).alias("coded"))
     return coded.select(id_col, "coded.*")
 

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coppice.llm import decontaminate, pii, sentencepiece_bpe, simhash, toxicity
-from coppice.llm.common import table
-from coppice.llm.queries import held_out
+from coppice.llm.common import bounded_batches
+from coppice.llm.queries import held_out, table
 from coppice.store import Store
 
 
@@ -23,6 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of each group of linked fingerprints the document with the smallest id."""
+    bounded_batches(spark)
     return simhash.keep_one(docs)
 
 
@@ -33,12 +34,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 
 def mask_private(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Texts with personal data masked, and their new lengths."""
+    bounded_batches(spark)
     masked = docs.withColumn("text", pii.masked_column("text"))
     return masked.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Ids of every text with the digests of ids and decoded text."""
+    bounded_batches(spark)
     coded = docs.select("doc_id", "lang", "source", sentencepiece_bpe.encode_column().alias("coded"))
     picked = [f"coded.{c}" for c in ("n_tokens", "ids", "ids_sha256", "decoded_sha256")]
     return coded.select("doc_id", "lang", "source", *picked)
