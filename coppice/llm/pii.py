@@ -49,8 +49,8 @@ NUMERALS = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4",
     "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
 }
-# Endings after which a spoken "at" with a plain dot counts.
-ENDINGS = "com|org|net|edu|gov|mil|info|biz|io|co|ai|app|dev|me|us|uk|de|fr|es|it|nl|eu|ch|at|be|ca|au|jp|in|br"
+# Endings of domains after a spoken "at"; none is an English word.
+ENDINGS = "com|org|net|edu|gov|mil|info|biz|io|co|ai|app|dev|uk|de|fr|es|nl|eu|ch|ca|au|jp|br|ru|pl|se|dk|fi|cz|pt|test|example|local|xyz"
 
 SPAN = tuple[int, int, str]
 
@@ -163,7 +163,7 @@ _DOT = r"\s{0,3}[\[({<]\s{0,3}(?:dot|punkt|point|\.)\s{0,3}[\])}>]\s{0,3}"
 BRACKETED = re.compile(rf"(?i)(?<={_WORD})(?:(?P<at>{_AT})|(?P<dot>{_DOT}))(?={_WORD})")
 SPOKEN_DOT = re.compile(rf"(?i)(?<={_WORD})\s{{1,3}}dot\s{{1,3}}(?={_WORD})")
 _NAME = r"[A-Za-z0-9-]{1,63}"
-SPOKEN_AT = re.compile(rf"(?i)(?<={_WORD})(?P<at>\s{{1,3}}at\s{{1,3}})(?={_NAME}(?:[.\x00]{_NAME}){{0,8}}?\x00{_NAME})")
+SPOKEN_AT = re.compile(rf"(?i)(?<={_WORD})(?P<at>\s{{1,3}}at\s{{1,3}})(?={_NAME}(?:[.\x00]{_NAME}){{0,8}}?\x00(?:{ENDINGS})\b)")
 #: With a plain dotted domain only after a name that no sentence holds: one with a digit or sign inside.
 NAMED_AT = re.compile(
     rf"(?i)\b(?:[A-Za-z]{{1,32}}[0-9]{{1,9}}|(?:[A-Za-z0-9]{{1,32}}[._%+-]){{1,4}}[A-Za-z0-9]{{1,32}})"

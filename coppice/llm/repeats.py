@@ -66,8 +66,11 @@ def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def segments(raw: bytes, length: int, gram: int) -> Iterator[tuple[int, int, int]]:
-    """(name, first window, number of windows) of the segments of a text, in order."""
+def segments(raw: bytes, length: int, gram: int) -> Iterator[tuple[int, int, int, int]]:
+    """(name, first window, windows, grams of that name) of the segments of a text, in order.
+
+    A segment whose name is the hash of several of its grams may repeat itself.
+    """
     size = len(raw) - length + 1
     up, down = per_worker("powers", lambda: _powers(STRETCH + (1 << 12)))
     if length >= 1 << 12:
@@ -86,7 +89,10 @@ def segments(raw: bytes, length: int, gram: int) -> Iterator[tuple[int, int, int
         turns = np.flatnonzero(names[1:] != names[:-1]) + 1
         starts = np.concatenate([[0], turns])
         counts = np.diff(np.append(starts, len(names)))
-        yield from zip(names[starts].view(np.int64).tolist(), (starts + at).tolist(), counts.tolist())
+        width = length - gram
+        for name, start, count in zip(names[starts], starts.tolist(), counts.tolist()):
+            named = np.count_nonzero(hashed[start : start + count + width] == name)
+            yield int(name.view(np.int64)), start + at, count, named
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -205,7 +211,7 @@ def _ranges(flags: np.ndarray) -> list[list[int]]:
 
 # --- jobs ------------------------------------------------------------------------
 
-RECORD = "h long, s long, a long, b long, start int, windows int, n long"
+RECORD = "h long, s long, a long, b long, start int, windows int, n long, named int"
 PIECE = "h long, s long, n long, hot boolean, piece binary"
 MARKS = "h long, s long, ranges array<array<int>>"
 
@@ -217,15 +223,15 @@ def _records(length: int, gram: int):
         import xxhash
 
         names = [field.split()[0] for field in RECORD.split(", ")]
-        kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64()]
+        kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64(), pa.int32()]
         for batch in batches:
             keys = [batch[c].to_pylist() for c in ("a", "b", "n")]
             out: list[list[int]] = [[] for _ in names]
             for k, piece in enumerate(batch["piece"]):
                 raw = piece.as_buffer().to_pybytes()
-                for name, start, windows in segments(raw, length, gram):
+                for name, start, windows, named in segments(raw, length, gram):
                     digest = xxhash.xxh64_intdigest(raw[start : start + windows + length - 1])
-                    row = (name, digest - (digest >> 63 << 64), keys[0][k], keys[1][k], start, windows, keys[2][k])
+                    row = (name, digest - (digest >> 63 << 64), keys[0][k], keys[1][k], start, windows, keys[2][k], named)
                     for column, value in zip(out, row):
                         column.append(value)
                 if len(out[0]) > 200_000:
@@ -290,8 +296,8 @@ def _index(length: int, most: int = INDEX_BYTES):
 
 
 def _repeated(records: DataFrame, store: Store, label: str) -> tuple[DataFrame, DataFrame]:
-    """The records whose name occurs twice, and their different segments with the number of copies."""
-    names = records.groupBy("h").agg(F.sum("n").alias("all")).where("all > 1").select("h")
+    """The records whose name occurs twice, also in one record, and their different segments with the number of copies."""
+    names = records.groupBy("h").agg(F.sum(F.col("n") * F.col("named")).alias("places")).where("places > 1").select("h")
     live = store.keep(records.join(names, "h", "left_semi"), f"{label}-records")
     place = F.struct("a", "b", "start", "windows")
     return live, live.groupBy("h", "s").agg(F.sum("n").alias("n"), F.min(place).alias("at"))
