@@ -35,7 +35,7 @@ from coppice.llm.common import per_worker, slices, text_or_empty
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 DOCS_PER_SHARD = 4_096
-KEPT_UNITS = 150_000
+KEPT_UNITS = 100_000
 #: Mean keys of a bucket of the hash; larger ones make the table of seeds smaller and slower to find.
 BUCKET = 4
 MASK = 2**64 - 1
@@ -64,6 +64,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code = f"<u{self.width}"
+        self.older: dict[str, dict[str, bytes]] = {}
         self.heads: dict[str, bytes] = {}  # units that start a text
         self.tails: dict[str, bytes] = {}  # units after a space
 
@@ -94,7 +95,11 @@ class Encoder:
 
     def _learn(self, known: dict[str, bytes], units: set[str], before: str) -> None:
         if len(known) > KEPT_UNITS:
+            # Units in use move over from the older generation; rare ones are forgotten.
+            self.older[before] = dict(known)
             known.clear()
+        older = self.older.get(before, {})
+        known.update((u, older[u]) for u in units & older.keys())
         fresh = [u for u in units - known.keys() if u and not u[0].isspace() and not u[-1].isspace()]
         known.update(zip(fresh, self._library([before + u for u in fresh])))
 

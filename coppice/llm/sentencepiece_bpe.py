@@ -3,9 +3,9 @@
 The text gets its leading mark, spaces become marks, and the text falls apart where
 two neighbouring characters stand side by side in no piece: no merge can cross such a
 place. Each part is encoded by an agenda of adjacent symbol pairs ordered by score,
-ties from the left; what no piece covers falls back to byte pieces. Parts repeat, so
-each worker keeps the ones it has seen, and every new part is checked against the
-library, one call per Arrow batch.
+ties from the left; what no piece covers falls back to byte pieces. Parts and the units
+between spaces repeat, so each worker keeps the ones in use, and every unit with a new
+part is checked against the library, one call per Arrow batch.
 
 Edge cases: a null or empty text has no ids and decodes to an empty text; a mark that
 stands in the text itself is a space, as in the library. Ties, repeated rows and very
@@ -14,7 +14,8 @@ long texts need nothing special: a row depends on its text alone.
 
 from __future__ import annotations
 
-import heapq
+from heapq import heapify, heappop, heappush
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,11 @@ from coppice.llm.common import per_worker, sha256_text, text_or_empty
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
-#: Parts that a worker keeps; it starts anew beyond that, so its memory is bounded.
-KEPT_PARTS = 150_000
+#: Units and parts that a worker keeps in one generation, some 300 bytes each.
+KEPT_UNITS, KEPT_PARTS = 80_000, 60_000
+#: Characters up to which a part's agenda is a list.
+SHORT = 48
+NEVER = float("inf")
 
 
 class Pieces:
@@ -43,7 +47,7 @@ class Pieces:
             for i in range(size)
             if not (self.library.is_byte(i) or self.library.is_control(i) or self.library.is_unknown(i))
         ]
-        self.score = {self.names[i]: self.library.get_score(i) for i in plain}
+        self.cost = {self.names[i]: -self.library.get_score(i) for i in plain}
         self.number = {self.names[i]: i for i in plain}
         byte_ids = [i for i in range(size) if self.library.is_byte(i)]
         self.byte_number = {int(self.names[i][3:-1], 16): i for i in byte_ids}
@@ -51,74 +55,123 @@ class Pieces:
         for value, i in self.byte_number.items():
             self.raw[i] = bytes([value])
         self.unknown = self.library.unk_id()
-        self.joined = {name[k : k + 2] for name in self.score for k in range(len(name) - 1)}
+        self.joined = {name[k : k + 2] for name in self.cost for k in range(len(name) - 1)}
 
     def encode_part(self, part: str) -> list[int]:
-        """Merges by the agenda: the best-scoring adjacent pair first, ties from the left."""
-        symbols = list(part)
-        score = self.score
-        after = list(range(1, len(symbols) + 1))
-        before = list(range(-1, len(symbols) - 1))
-        agenda = []
-        for i in range(len(symbols) - 1):
-            pair = symbols[i] + symbols[i + 1]
-            if pair in score:
-                agenda.append((-score[pair], i, pair))
-        heapq.heapify(agenda)
-        end = len(symbols)
+        """Ids of a part after all merges: the best-scoring adjacent pair first, ties from the left."""
+        symbols = self._merge_short(part) if len(part) <= SHORT else self._merge_long(part)
+        ids, number = [], self.number
+        for symbol in symbols:
+            known = number.get(symbol)
+            if known is not None:
+                ids.append(known)
+            elif self.byte_number:
+                ids += [self.byte_number[b] for b in symbol.encode("utf-8", "surrogatepass")]
+            else:
+                ids.append(self.unknown)
+        return ids
+
+    def _merge_short(self, part: str) -> list[str]:
+        """The agenda as a list: the cost of each adjacent pair in the order of the text."""
+        symbols, cost = list(part), self.cost.get
+        agenda = [cost(pair, NEVER) for pair in map(add, part, part[1:])]
         while agenda:
-            _, i, pair = heapq.heappop(agenda)
+            best = min(agenda)
+            if best == NEVER:
+                break
+            i = agenda.index(best)
+            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+            del agenda[i]
+            if i:
+                agenda[i - 1] = cost(symbols[i - 1] + symbols[i], NEVER)
+            if i < len(agenda):
+                agenda[i] = cost(symbols[i] + symbols[i + 1], NEVER)
+        return symbols
+
+    def _merge_long(self, part: str) -> list[str]:
+        """The agenda as a heap, for parts in which a list would be walked too often."""
+        cost, symbols, end = self.cost, list(part), len(part)
+        agenda = [(cost[pair], i, pair) for i, pair in enumerate(map(add, part, part[1:])) if pair in cost]
+        heapify(agenda)
+        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
+        while agenda:
+            _, i, pair = heappop(agenda)
             j = after[i]
             if not symbols[i] or j == end or symbols[i] + symbols[j] != pair:
                 continue  # one of the two was merged meanwhile
             symbols[i], symbols[j] = pair, ""
-            after[i] = after[j]
-            if after[i] < end:
-                before[after[i]] = i
-            for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right < end:
-                    new = symbols[left] + symbols[right]
-                    if new in score:
-                        heapq.heappush(agenda, (-score[new], left, new))
-        ids = []
-        for symbol in symbols:
-            if symbol:
-                number = self.number.get(symbol)
-                if number is not None:
-                    ids.append(number)
-                elif self.byte_number:
-                    ids += [self.byte_number[b] for b in symbol.encode("utf-8", "surrogatepass")]
-                else:
-                    ids.append(self.unknown)
-        return ids
-
-    def encode_unit(self, unit: str) -> list[int]:
-        """Ids of a unit, cut where no piece holds both neighbours."""
-        ids, start = [], 0
-        for k in range(1, len(unit)):
-            if unit[k - 1 : k + 1] not in self.joined:
-                ids += self.encode_part(unit[start:k])
-                start = k
-        return ids + self.encode_part(unit[start:])
+            k = after[i] = after[j]
+            if k < end:
+                before[k] = i
+                if pair + symbols[k] in cost:
+                    heappush(agenda, (cost[pair + symbols[k]], i, pair + symbols[k]))
+            h = before[i]
+            if h >= 0 and symbols[h] + pair in cost:
+                heappush(agenda, (cost[symbols[h] + pair], h, symbols[h] + pair))
+        return [symbol for symbol in symbols if symbol]
+
+    def parts(self, unit: str) -> list[str]:
+        """The unit cut where no piece holds both neighbours."""
+        cuts = [k for k, pair in enumerate(map(add, unit, unit[1:]), 1) if pair not in self.joined]
+        return [unit[a:b] for a, b in zip([0, *cuts], [*cuts, len(unit)])]
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids, with marks as spaces and the leading one still there."""
+        """The text of ids, the leading mark's space still there."""
         raw = b"".join(map(self.raw.__getitem__, ids))
         return raw.decode("utf-8", "replace").replace(MARK, " ")
 
 
-class Units(dict):
-    """Unit -> (ids as text, decoded text); computes what is not there."""
+class Kept(dict):
+    """A bounded memory of two generations: when the younger one is full it becomes the
+    older one, from which entries in use move over again, so that rare ones are forgotten."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.older: dict[str, tuple[str, str]] = {}
+
+    def __missing__(self, name: str) -> tuple[str, str]:
+        known = self.older.get(name)
+        if known is None:
+            known = self.find(name)
+        self[name] = known
+        return known
+
+    def settle(self) -> None:
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+
+
+class Parts(Kept):
+    """Part -> (ids as text, decoded text)."""
+
+    def __init__(self, pieces: Pieces):
+        super().__init__(KEPT_PARTS)
+        self.pieces = pieces
+        self.found = 0
+
+    def find(self, part: str) -> tuple[str, str]:
+        self.found += 1
+        ids = self.pieces.encode_part(part)
+        return ",".join(map(str, ids)), self.pieces.decode(ids)
+
+
+class Units(Kept):
+    """Unit -> (ids as text, decoded text without the space of its mark)."""
 
     def __init__(self, pieces: Pieces):
+        super().__init__(KEPT_UNITS)
         self.pieces = pieces
+        self.parts = Parts(pieces)
         self.new: list[str] = []
 
-    def __missing__(self, unit: str) -> tuple[str, str]:
-        ids = self.pieces.encode_unit(MARK + unit)
-        self[unit] = known = (",".join(map(str, ids)), self.pieces.decode(ids))
-        self.new.append(unit)
-        return known
+    def find(self, unit: str) -> tuple[str, str]:
+        before = self.parts.found
+        ids, decoded = zip(*[self.parts[part] for part in self.pieces.parts(MARK + unit)])
+        if self.parts.found > before:
+            self.new.append(unit)  # it has a part that no checked unit has
+        decoded = "".join(decoded)[1:]
+        return ",".join(ids), unit if decoded == unit else decoded
 
     def encode(self, text: str) -> tuple[str, str]:
         """(decimal ids joined by commas, decoded text)."""
@@ -130,18 +183,22 @@ class Units(dict):
         if "" in units:
             units = _with_runs(units)
         ids, decoded = zip(*[self[unit] for unit in units])
-        return ",".join(ids), "".join(decoded)[1:]
+        return ",".join(ids), " ".join(decoded)
 
-    def settle(self, check: bool) -> None:
-        """Checks the new units against the library and bounds what is kept."""
+    def check(self) -> None:
+        """Compares the new units with the library, in one call."""
         new = [unit for unit in self.new if unit]  # the library takes no lone mark as its input
-        if check and new:
-            for unit, ids in zip(new, self.pieces.library.encode(new, num_threads=1)):
-                if self[unit][0] != ",".join(map(str, ids)):
-                    raise ValueError(f"unit {unit!r} differs from the library: {self[unit][0]} and {ids}")
         self.new = []
-        if len(self) > KEPT_PARTS:
-            self.clear()
+        for unit, ids in zip(new, self.pieces.library.encode(new, num_threads=1) if new else []):
+            if self[unit][0] != ",".join(map(str, ids)):
+                raise ValueError(f"unit {unit!r} differs from the library: {self[unit][0]} and {ids}")
+
+    def end_batch(self, check: bool) -> None:
+        if check:
+            self.check()
+        self.new = []
+        self.settle()
+        self.parts.settle()
 
 
 def _with_runs(words: list[str]) -> list[str]:
@@ -188,7 +245,7 @@ def _encoder(model_file: str | None, check: bool, with_ids: bool):
             decoded_digests.append(sha256_text(decoded))
             if with_ids:
                 raw.append(np.fromstring(ids, dtype=np.int32, sep=",") if ids else np.zeros(0, np.int32))
-        units.settle(check)
+        units.end_batch(check)
         arrays = [pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded_digests, pa.string())]
         if with_ids:
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)

@@ -197,7 +197,7 @@ def test_search_edges(spark):
     rng = np.random.default_rng(8)
     rows = [(k, [float(c) for c in rng.integers(-2, 3, 6) / 4]) for k in range(300)]
     rows += [(k, [0.5] * 6) for k in range(300, 400)]  # a common vector
-    rows += [(500, None), (501, [1.0, None, 0, 0, 0, 0]), (502, [float("nan")] * 6), (503, [float("inf")] * 6)]
+    rows += [(500, None), (501, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (502, [float("nan")] * 6), (503, [float("inf")] * 6)]
     rows += [(504, []), (505, [1.0, 2.0]), (506, [2.0, 1.0]), (None, [0.5] * 6), (7, rows[7][1])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     vectors = maxscore.integer_vectors(table)
