@@ -173,7 +173,7 @@ log AS (
     CASE WHEN l_linestatus <> 'F' THEN l_linenumber END AS threads,
     CASE WHEN l_linestatus = 'F' THEN l_linenumber * 32 END AS block_size,
     CASE WHEN l_tax > 0 THEN l_extendedprice END AS runtime_ms,
-    l_shipdate AS ts, 'single' AS linkage,
+    l_shipdate AS ts, 'single' AS linkage, l_orderkey % 5 AS rep,
     CASE WHEN lower(executable) LIKE '%cuda%' THEN 'cuda' ELSE 'cpu' END AS implementation_type,
     (CASE dataset WHEN 'optdigits' THEN 5620 WHEN 'donut3' THEN 999 ELSE 500 END)::BIGINT AS n,
     (CASE dataset WHEN 'optdigits' THEN 64 ELSE 2 END)::INTEGER AS d,
@@ -183,19 +183,29 @@ log AS (
          ELSE 'unknown' END AS dataset_source
   FROM lines)"""
 
-SUMMARY = f"""{LOG},
+def _summary(sizes: str = "") -> str:
+    """One row per configuration; of several baselines the last in key order. ``sizes`` changes n."""
+    return f"""{LOG},
+runs AS (SELECT * {sizes} FROM log),
 med AS (
   SELECT executable, dataset, n, d, dataset_source, linkage, threads, block_size,
          count(*) AS reps, median(runtime_ms) AS m
-  FROM log WHERE runtime_ms IS NOT NULL GROUP BY ALL),
+  FROM runs WHERE runtime_ms IS NOT NULL GROUP BY ALL),
+base AS (
+  SELECT * FROM med WHERE threads = 1 AND block_size IS NULL
+  QUALIFY row_number() OVER (
+    PARTITION BY executable, dataset, linkage ORDER BY n DESC, d DESC, dataset_source DESC) = 1),
 summary AS (
   SELECT med.executable, med.dataset, med.n, med.d, med.dataset_source, med.linkage, med.threads,
          med.block_size, med.reps, round(med.m, {PLACES}) AS median_runtime_ms,
          round(CASE WHEN med.threads IS NOT NULL AND med.block_size IS NULL THEN b.m / med.m END, {PLACES})
            AS speedup_vs_1_thread
-  FROM med LEFT JOIN (SELECT * FROM med WHERE threads = 1 AND block_size IS NULL) b
+  FROM med LEFT JOIN base b
     ON b.executable = med.executable AND b.dataset = med.dataset AND b.linkage = med.linkage)"""
 
+
+SUMMARY = _summary()
+
 CONFIG_MEDIANS = f"""{LOG},
 med AS (
   SELECT executable, implementation_type, dataset, n, d, dataset_source, linkage, threads, block_size,
@@ -251,6 +261,14 @@ FROM lineitem""",
         "average_linkage": _with(average, _named()) + _rows(),
         "single_linkage_ties": _with(_flat_edges(PARTS), _replayed()) + _rows(),
         "complete_linkage_ties": _with(_line_complete(PARTS), _named()) + _rows(),
+        "euclidean_mst_staged": _with(_grown(SUPPLIERS)) + edges,
+        "single_linkage_parts": tree + _rows(),
+        "complete_linkage_rounds": _with(supplier_complete, _named()) + _rows(),
+        "average_linkage_rounds": _with(supplier_average, _named()) + _rows(),
+        "complete_linkage_split": _with(supplier_complete, _named()) + _rows(),
+        "connected_components_chain": """
+SELECT p_partkey AS id, (SELECT min(p_partkey) FROM part) AS comp FROM part
+UNION ALL SELECT max(p_partkey) + 1, min(p_partkey) FROM part""",
         "dendrogram_top": _with(complete, _named()) + _rows("ORDER BY step LIMIT 10"),
         "slot_tree_ids": _with(supplier_average, _named()) + _rows(),
         "tree_slot_ids": _with(supplier_complete, _named()) + _rows(),
@@ -292,7 +310,26 @@ SELECT label, count(*) AS points, round(sum(x0), 2) AS total FROM (
   UNION ALL SELECT c_acctbal, c_nationkey FROM customer) GROUP BY label""",
         "run_median": _with(CONFIG_MEDIANS)
         + f" SELECT * EXCLUDE (m), round(m, {p}) AS median_runtime_ms FROM med",
+        "run_median_spread": _with(CONFIG_MEDIANS)
+        + f" SELECT * EXCLUDE (m), round(m, {p}) AS median_runtime_ms FROM med",
         "run_summary": _with(SUMMARY) + " SELECT * FROM summary",
+        "run_summary_sizes": _with(_summary("REPLACE (n + rep % 2 AS n)")) + " SELECT * FROM summary",
+        "run_summary_files": _with(SUMMARY) + " SELECT * FROM summary",
+        "run_block_sizes": _with(CONFIG_MEDIANS)
+        + f" SELECT * EXCLUDE (m), round(m, {p}) AS runtime_ms FROM med WHERE implementation_type = 'cuda'",
+        "run_block_size_pivot": _with(LOG)
+        + " SELECT dataset, "
+        + ", ".join(
+            f"round(median(runtime_ms) FILTER (WHERE block_size = {b}), {p}) AS b{b}" for b in (32, 64, 96, 128)
+        )
+        + " FROM log WHERE implementation_type = 'cuda' GROUP BY dataset",
+        "run_speedup_series": _with(SUMMARY)
+        + """ SELECT executable, dataset, threads, speedup_vs_1_thread FROM summary
+        WHERE threads IS NOT NULL AND dataset IN ('random_n500', 'random_n1000', 'random_n2000', 'random_n5000',
+          'donut3', 'complex9', 'diamond9')""",
+        "implementation_kinds": _with(LOG)
+        + """ SELECT executable, implementation_type, executable LIKE 'mst%' AS is_mst, count(*) AS runs
+        FROM log GROUP BY 1, 2, 3""",
         "run_speedup": _with(CONFIG_MEDIANS)
         + f""" SELECT med.* EXCLUDE (m), round(med.m, {p}) AS runtime_ms,
           round(CASE WHEN med.implementation_type = 'cpu' THEN b.m / med.m END, {p}) AS speedup

@@ -24,6 +24,7 @@ PLACES = 6
 CUT_K = 10
 CUT_LABELS_K = 20
 CUT_SUPPLIER_K = 5
+BLOCKS_SMALL = 16  # forces the forms for many blocks, parts and pieces on a small table
 BLOCKS_APART = 96  # a second block size, to show that the layout does not matter
 
 
@@ -137,6 +138,13 @@ def component_count(spark, folder):
     return components.component_count(found)
 
 
+def connected_components_chain(spark, folder):
+    """A chain in the order of its ids, the longest way for labels to travel."""
+    rows = _table(spark, folder, "part")
+    chain = rows.select(F.col("p_partkey").alias("u"), (F.col("p_partkey") + 1).alias("v"))
+    return components.connected_components(chain)
+
+
 def euclidean_mst(spark, folder):
     return _rounded(mst.euclidean_mst(_embeddings(spark, folder)), "w")
 
@@ -149,6 +157,12 @@ def euclidean_mst_plane(spark, folder):
     return _rounded(mst.euclidean_mst(_customers(spark, folder)), "w")
 
 
+def euclidean_mst_staged(spark, folder):
+    """The same tree by small blocks, in stages, with no remainder settled in one task."""
+    made = mst.euclidean_mst(_suppliers(spark, folder), BLOCKS_SMALL, one_stage_blocks=1, tail_edges=0)
+    return _rounded(made, "w")
+
+
 # --- dendrograms -------------------------------------------------------------
 
 
@@ -156,6 +170,28 @@ def single_linkage(spark, folder):
     return _rounded(dendrogram.single_linkage(_embeddings(spark, folder)), "distance")
 
 
+def single_linkage_parts(spark, folder):
+    """Merges of parts of few edges, contracted and replayed apart."""
+    return _rounded(dendrogram.single_linkage(_suppliers(spark, folder), leaf_edges=BLOCKS_SMALL), "distance")
+
+
+def complete_linkage_rounds(spark, folder):
+    """Rounds to the end, none of the clusters settled in one task."""
+    made = linkage.hierarchical_cluster(_suppliers(spark, folder), "complete", tail_clusters=1)
+    return _rounded(made, "distance")
+
+
+def average_linkage_rounds(spark, folder):
+    made = linkage.hierarchical_cluster(_suppliers(spark, folder), "average", tail_clusters=1)
+    return _rounded(made, "distance")
+
+
+def complete_linkage_split(spark, folder):
+    """Clusters larger than a block, cut into pieces."""
+    made = linkage.hierarchical_cluster(_suppliers(spark, folder), "complete", BLOCKS_SMALL, tail_clusters=1)
+    return _rounded(made, "distance")
+
+
 def complete_linkage(spark, folder):
     return _rounded(linkage.hierarchical_cluster(_embeddings(spark, folder), "complete"), "distance")
 
@@ -336,6 +372,52 @@ def run_median(spark, folder):
     return _rounded(runlog.median_per_config(_log(spark, folder)), "median_runtime_ms")
 
 
+def run_median_spread(spark, folder):
+    """The same medians by counted values sorted over all partitions."""
+    return _rounded(runlog.median_per_config(_log(spark, folder), group_rows=0), "median_runtime_ms")
+
+
+def run_summary_sizes(spark, folder):
+    """A log in which one dataset name has two sizes, so that baselines repeat."""
+    log = _log(spark, folder).withColumn("n", F.col("n") + F.pmod("rep", F.lit(2)))
+    return _rounded(runlog.summarize(log), "median_runtime_ms", "speedup_vs_1_thread")
+
+
+def run_summary_files(spark, folder):
+    """Two summary files read back and put together."""
+    summary = runlog.summarize(_log(spark, folder))
+    store = Store(spark, "summaries")
+    paths = [store.path("cpu.csv"), store.path("cuda.csv")]
+    runlog_files.write_log(summary.where("threads is not null"), paths[0])
+    runlog_files.write_log(summary.where("threads is null"), paths[1])
+    both = runlog_files.union_summaries(*[runlog_files.read_summary(spark, path) for path in paths])
+    return _rounded(both, "median_runtime_ms", "speedup_vs_1_thread")
+
+
+def run_block_sizes(spark, folder):
+    medians = runlog.median_per_config(_log(spark, folder), name="runtime_ms")
+    return _rounded(runlog.block_size_series(medians), "runtime_ms")
+
+
+def run_block_size_pivot(spark, folder):
+    rows = _log(spark, folder).where("implementation_type = 'cuda'")
+    grid = runlog.pivot_median(rows, column="block_size", columns=[32, 64, 96, 128], order="n")
+    return grid.select("dataset", *[F.round(F.col(str(b)), PLACES).alias(f"b{b}") for b in (32, 64, 96, 128)])
+
+
+def run_speedup_series(spark, folder):
+    """Speedup against threads of the shown sets, by executable."""
+    rows = runlog.shown_subset(runlog.summarize(_log(spark, folder))).where("threads is not null")
+    return _rounded(rows.select("executable", "dataset", "threads", "speedup_vs_1_thread"), "speedup_vs_1_thread")
+
+
+def implementation_kinds(spark, folder):
+    rows = _log(spark, folder)
+    return rows.groupBy("executable", "implementation_type", F.col("mst").alias("is_mst")).agg(
+        F.count(F.lit(1)).alias("runs")
+    )
+
+
 def run_summary(spark, folder):
     rows = runlog.summarize(_log(spark, folder))
     return _rounded(rows, "median_runtime_ms", "speedup_vs_1_thread")
@@ -431,12 +513,14 @@ QUERIES: dict[str, Query] = {
         pairwise_distance, distance_column, closest_pair, nearest_neighbor, nearest_neighbor_ties,
         lance_williams_update, connected_components, mst_cluster_sizes, component_count,
         euclidean_mst, euclidean_mst_ties, euclidean_mst_plane, single_linkage, complete_linkage,
-        average_linkage, single_linkage_orders, single_linkage_ties, complete_linkage_ties, dendrogram_top, slot_tree_ids,
+        average_linkage, euclidean_mst_staged, single_linkage_parts, complete_linkage_rounds,
+        average_linkage_rounds, complete_linkage_split, connected_components_chain, single_linkage_orders, single_linkage_ties, complete_linkage_ties, dendrogram_top, slot_tree_ids,
         tree_slot_ids, dendrogram_roundtrip, exchange_roundtrip, flat_clusters_k,
         flat_clusters_single, cluster_label_attach, compare_heights, dendrogram_diff,
         read_points_csv, dataset_profile, table_profile, label_encode, convert_points,
         union_headerless, run_median, run_summary, run_speedup, run_pivot, run_log_union_filter,
-        run_series, dataset_sizes, log_names, run_log_roundtrip, run_log_text, event_stamp,
+        run_median_spread, run_summary_sizes, run_summary_files, run_block_sizes, run_block_size_pivot,
+        run_speedup_series, implementation_kinds, run_series, dataset_sizes, log_names, run_log_roundtrip, run_log_text, event_stamp,
         extract_runtime,
     )
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coppice.functions.classify import ratio
+from coppice.functions.classify import RANDOM_PREFIX, ratio
 from coppice.operators.rank import running_total
 from coppice.store import Store
 
@@ -25,7 +25,6 @@ SHOWN_SETS = [
 ]
 SPEEDUP_SETS = ["random_n500", "random_n2000", "random_n5000", "complex9", "optdigits"]
 THREADS = [1, 2, 3, 4, 8, 12, 16]
-RANDOM_PREFIX = "random_n"
 
 GROUP_ROWS = 1_000_000  # rows of one configuration that the built-in median may hold
 
@@ -84,9 +83,12 @@ def with_speedup(
     value: str = "median_runtime_ms",
     name: str = "speedup_vs_1_thread",
     measured: Column | None = None,
+    last_by: list[str] | None = None,
 ) -> DataFrame:
     """Add the value at degree 1 over the own value; rows outside ``measured`` get null.
 
+    ``last_by`` makes one baseline of several with equal ``keys``: the last in that
+    order. Without it the join is a merge, and a row is there once for each baseline.
     The medians are written once, so the log behind them is not read twice.
     """
     medians = Store(medians.sparkSession, "speedup").keep(medians, "medians")
@@ -94,19 +96,27 @@ def with_speedup(
     base = medians.where(measured & (F.col(degree) == 1)).select(
         *keys, F.col(value).alias("base_value")
     )
+    if last_by is not None:
+        base = medians.where(measured & (F.col(degree) == 1)).groupBy(*keys).agg(
+            F.max_by(F.col(value), F.struct(*last_by)).alias("base_value")
+        )
     joined = medians.join(base, keys, "left")
     speedup = F.when(measured, ratio("base_value", value))
     return joined.withColumn(name, speedup).drop("base_value")
 
 
 def summarize(log: DataFrame) -> DataFrame:
-    """The run summary: medians, repetitions and speedups, in key order."""
+    """The run summary: one row per configuration with median, repetitions and speedup, in key order.
+
+    Where a baseline repeats (one dataset name with several n) the last one in key order counts.
+    """
     keys = [k for k in CONFIG if k != "implementation_type"]
     out = with_speedup(
         median_per_config(log, keys),
         measured=F.col("threads").isNotNull() & F.col("block_size").isNull(),
+        last_by=keys,
     )
-    return out.orderBy(*keys)
+    return out.select(*keys, "reps", "median_runtime_ms", "speedup_vs_1_thread").orderBy(*keys)
 
 
 def pivot_median(
@@ -149,6 +159,11 @@ def speedup_series(summary: DataFrame, datasets: list[str] = SPEEDUP_SETS) -> Da
     return summary.where(F.col("dataset").isin(datasets)).orderBy("dataset", "threads")
 
 
+def block_size_series(rows: DataFrame) -> DataFrame:
+    """Runtime against block size of the GPU runs."""
+    return rows.where("implementation_type = 'cuda'").orderBy("dataset", "block_size")
+
+
 def shown_subset(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("dataset").isin(SHOWN_SETS))
 

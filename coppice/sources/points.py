@@ -39,17 +39,22 @@ def read_points(
 
 
 def number_rows(table: DataFrame, columns: list[str], store: Store | None = None) -> DataFrame:
-    """Add a 0-based ``id`` in file order: file name, then position in the file."""
+    """Add a 0-based ``id`` in file order: part number, file name, then position in the file.
+
+    Part numbers have five digits or more, so they are compared as numbers.
+    """
     store = store or Store(table.sparkSession, "numbered")
     # A text scan splits files in order, and the id grows with the split.
     placed = table.select(
-        *columns, F.col("_metadata.file_path").alias("_file"),
+        *columns,
+        F.expr("try_cast(regexp_extract(_metadata.file_name, '^part-([0-9]+)', 1) as long)").alias("_part"),
+        F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_row"),
     )
     placed = store.keep(placed, "read")
-    ranked = global_rank(placed, ["_file", "_start", "_row"], store, "id")
-    return ranked.drop("_file", "_start", "_row")
+    ranked = global_rank(placed, ["_part", "_file", "_start", "_row"], store, "id")
+    return ranked.drop("_part", "_file", "_start", "_row")
 
 
 def as_points(

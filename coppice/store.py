@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -28,18 +29,16 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="coppice-")
-    try:
-        spark.conf.set(SETTING, folder)
-    except Exception:  # the name is static in this session: keep the folder unshared
-        pass
-    return folder
+    # One folder for all calls of the application; only this machine runs it.
+    folder = Path(tempfile.gettempdir()) / f"coppice-{spark.sparkContext.applicationId}"
+    folder.mkdir(mode=0o700, exist_ok=True)
+    return str(folder)
 
 
 class Store:
     """One sub-folder of the shared folder, for the tables of one operator call.
 
-    Results read lazily from it, so drop the sub-folder only after they are used.
+    Results read lazily from it, so ``drop`` it only after they are used.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -58,6 +57,13 @@ class Store:
         return self.spark.read.schema(_all_nullable(df.schema)).parquet(path)
 
 
+    def drop(self) -> None:
+        """Delete the sub-folder with all its tables."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _all_nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 

@@ -27,3 +27,28 @@ def test_long_chain_hub_and_loop(spark):
     assert {found[k] for k in range(100, 161)} == {100}
     assert {found[k] for k in [999, *range(300, 340)]} == {300}
     assert found[7] == 7
+
+
+def test_chain_takes_logarithmic_steps(spark):
+    """Four thousand vertices in the order of their ids: one round, about log n hops."""
+    from coppice.store import Store
+
+    store = Store(spark, "chain")
+    edges = spark.range(4000).selectExpr("id as u", "id + 1 as v")
+    found = connected_components(edges, store=store)
+    assert component_sizes(found).collect()[0].asDict() == {"comp": 0, "size": 4001}
+    # The edges, links, hops of one round, the relabelled edges and the result.
+    assert store._made <= 4 + 14
+    store.drop()
+
+
+def test_dropped_store_leaves_nothing(spark):
+    from pathlib import Path
+
+    from coppice.store import Store
+
+    store = Store(spark, "dropped")
+    kept = store.keep(spark.range(3), "rows")
+    assert kept.count() == 3 and Path(store.root.removeprefix("file:")).exists()
+    store.drop()
+    assert not Path(store.root.removeprefix("file:")).exists()

@@ -106,3 +106,10 @@ def test_pairs_and_neighbours(make_points):
     near = nearest_neighbors(points, block_rows=16)
     assert {r.id: (r.other, r.w) for r in near.collect()} == nearest
     assert [tuple(r) for r in closest_pair(points).collect()] == [(*pairs[0][1:], pairs[0][0])]
+
+
+def test_growing_gaps_take_one_chain(spark, make_points):
+    """x = k^2: every point picks the one before it."""
+    rows = [(k * k,) for k in range(60)]
+    found = euclidean_mst(make_points(rows), block_rows=8, tail_edges=0)
+    assert sorted((r["u"], r["v"]) for r in found.collect()) == [(k, k + 1) for k in range(59)]
