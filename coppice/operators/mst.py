@@ -112,7 +112,7 @@ def _tree_of_distinct(
         forest.contract(reach)
         if math.isinf(reach):
             break
-        labels = forest.labels(treed.select("id") if labels is None else labels)
+        labels = forest.labels(treed.select("id"))
         if labels.agg(F.count_distinct("comp")).first()[0] <= 1:
             break
         above, reach = reach, (reach * GROWTH if stage < MAX_STAGES - 2 else math.inf)
@@ -166,14 +166,13 @@ class _Forest:
     tail_edges: int
     edges: DataFrame | None = None
     chosen: list[DataFrame] = field(default_factory=list)
-    moves: list[DataFrame] = field(default_factory=list)  # (id, up) per round
-    done: int = 0  # moves already applied to the labels
+    roots: DataFrame | None = None  # (id, up): all moves so far, composed
 
     def add(self, found: DataFrame) -> None:
-        """Add edges between points, relabelled by every move so far."""
+        """Add edges between points, relabelled by the moves so far."""
         fresh = found.select(F.col("u").alias("a"), F.col("v").alias("b"), "w", "u", "v")
-        for move in self.moves:
-            fresh = _renamed(fresh, move)
+        if self.roots is not None:
+            fresh = _renamed(fresh, self.roots)
         self.edges = fresh if self.edges is None else self.edges.unionByName(fresh)
 
     def contract(self, reach: float) -> None:
@@ -181,7 +180,7 @@ class _Forest:
         live = self.store.keep(_lightest_per_pair(self.edges), "edges")
         waiting = None
         if not math.isinf(reach):
-            waiting = [live.where(F.col("w") > reach)]
+            waiting = live.where(F.col("w") > reach)
             live = live.where(F.col("w") <= reach)
         left = live.count()
         started = False
@@ -193,11 +192,21 @@ class _Forest:
                 move = self._round(live)
                 live = self.store.keep(_lightest_per_pair(_renamed(live, move)), "edges")
             started = True
-            self.moves.append(move)
-            if waiting:
-                waiting.append(_renamed(waiting[-1], move))
+            self._move(move)
             left = live.count() if live is not None else 0
-        self.edges = self.store.keep(waiting[-1], "waiting") if waiting else None
+        if waiting is not None and self.roots is not None:
+            waiting = _renamed(waiting, self.roots)
+        self.edges = None if waiting is None else self.store.keep(waiting, "waiting")
+
+    def _move(self, move: DataFrame) -> None:
+        """Compose the moves so far with one more ``(id, up)``; ids without a move stay themselves."""
+        if self.roots is None:
+            self.roots = self.store.keep(move, "roots")
+            return
+        step = move.select(F.col("id").alias("up"), F.col("up").alias("next"))
+        onward = self.roots.join(step, "up", "left").select("id", F.coalesce("next", "up").alias("up"))
+        fresh = move.join(self.roots.select("id"), "id", "left_anti").select("id", "up")
+        self.roots = self.store.keep(onward.unionByName(fresh), "roots")
 
     def _round(self, live: DataFrame) -> DataFrame:
         """Every component takes its lightest edge; returns the moves ``(id, up)``."""
@@ -231,15 +240,10 @@ class _Forest:
 
     def labels(self, points: DataFrame) -> DataFrame:
         """``(id, comp)``: the component of every point after all moves so far."""
-        if "comp" not in points.columns:
-            points = points.withColumn("comp", F.col("id"))
-        for move in self.moves[self.done :]:
-            step = move.select(F.col("id").alias("comp"), "up")
-            points = points.join(step, "comp", "left").select(
-                "id", F.coalesce("up", "comp").alias("comp")
-            )
-        self.done = len(self.moves)
-        return self.store.keep(points, "labels")
+        if self.roots is None:
+            return self.store.keep(points.select("id", F.col("id").alias("comp")), "labels")
+        found = points.select("id").join(self.roots, "id", "left")
+        return self.store.keep(found.select("id", F.coalesce("up", "id").alias("comp")), "labels")
 
     def tree(self) -> DataFrame:
         """All chosen edges; one can be chosen from both of its ends."""
