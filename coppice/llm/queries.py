@@ -112,4 +112,43 @@ QUERIES: dict[str, Query] = {
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLES: dict[str, str] = {}
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _sql_words(table: str, id_col: str) -> str:
+    text = f"translate(coalesce(text, ''), '{LETTERS}', '{LETTERS.lower()}')"
+    return rf"SELECT {id_col} AS id, regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table}"
+
+
+ORACLES: dict[str, str] = {
+    "op3_maxscore": f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor({maxscore.SCALE} * c::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+    list_sum(list_transform(list_zip(q.x, v.x), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v q JOIN v ON v.vec_id <> q.vec_id AND len(v.x) = len(q.x) WHERE q.vec_id % {SEARCH_EVERY} = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= {SEARCH_K}""",
+    "op5_decontamination": f"""
+WITH d AS ({_sql_words("documents", "doc_id")}),
+b AS ({_sql_words("benchmark", "item_id")}),
+windows AS (
+  SELECT DISTINCT id AS item, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+    FROM (SELECT *, least({decontaminate.WINDOW}, len(w)) AS k FROM b WHERE len(w) > 0))),
+places AS (
+  SELECT id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)),
+hits AS (SELECT id, i, k, item FROM places JOIN windows USING (k, g)),
+covered AS (
+  SELECT id, count(*) AS n_hit FROM (SELECT DISTINCT id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY id),
+named AS (
+  SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT id, item::VARCHAR AS item FROM hits) GROUP BY id)
+SELECT d.id AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND {decontaminate.COVERAGE} * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered ON covered.id = d.id LEFT JOIN named ON named.id = d.id""",
+}
