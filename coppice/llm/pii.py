@@ -160,7 +160,10 @@ def fold_lookalikes(text: Rewritten) -> Rewritten:
 _WORD = r"[A-Za-z0-9]"
 _AT = r"\s{0,3}[\[({<]\s{0,3}(?:at|@)\s{0,3}[\])}>]\s{0,3}"
 _DOT = r"\s{0,3}[\[({<]\s{0,3}(?:dot|punkt|point|\.)\s{0,3}[\])}>]\s{0,3}"
-BRACKETED = re.compile(rf"(?i)(?<={_WORD})(?:(?P<at>{_AT})|(?P<dot>{_DOT}))(?={_WORD})")
+BRACKETED = re.compile(rf"(?i)(?<={_WORD})(?:(?P<at>{_AT}|_at_)|(?P<dot>{_DOT}|_dot_))(?={_WORD})")
+#: "nameATplaceDOTcom": capitals between small letters or digits.
+CAPITALS = re.compile(r"(?<=[a-z0-9])(?P<at>AT)(?=[a-z0-9-]{1,63}(?:DOT[a-z0-9-]{1,63}){1,6}\b)|(?<=[a-z0-9])DOT(?=[a-z])")
+CAPITALS_HINT = re.compile(r"[a-z0-9]AT[a-z0-9-]{1,63}DOT[a-z]")
 SPOKEN_DOT = re.compile(rf"(?i)(?<={_WORD})\s{{1,3}}dot\s{{1,3}}(?={_WORD})")
 _NAME = r"[A-Za-z0-9-]{1,63}"
 SPOKEN_AT = re.compile(rf"(?i)(?<={_WORD})(?P<at>\s{{1,3}}at\s{{1,3}})(?={_NAME}(?:[.\x00]{_NAME}){{0,8}}?\x00(?:{ENDINGS})\b)")
@@ -170,6 +173,9 @@ NAMED_AT = re.compile(
     rf"(?P<at>\s{{1,3}}at\s{{1,3}})(?={_NAME}(?:\.{_NAME}){{0,6}}?\.(?:{ENDINGS})\b)"
 )
 SPACED_AT = re.compile(rf"(?<={_WORD})(?P<at>\s{{1,3}}@\s{{0,3}}|@\s{{1,3}})(?={_NAME}(?:[.\x00]{_NAME})+)")
+#: "name @ place . com": the dots after a spaced sign.
+SPACED_DOTS = re.compile(rf"(?i)(?<={_WORD})\s{{1,3}}@\s{{1,3}}{_NAME}(?:\s{{0,3}}\.\s{{0,3}}{_NAME}){{0,6}}\s{{0,3}}\.\s{{0,3}}(?:{ENDINGS})\b")
+SPACED_DOT = re.compile(r"\s{1,3}\.\s{0,3}|\.\s{1,3}")
 BRACKET_HINT = re.compile(r"(?i)[\[({<]\s{0,3}(?:at|dot|punkt|point|[@.])\s{0,3}[\])}>]")
 DOT_HINT = re.compile(r"(?i)\sdot\s")
 AT_HINT = re.compile(rf"(?i)\sat\s{{1,3}}[a-z0-9-]{{1,63}}(?:\.[a-z0-9-]{{1,63}}){{0,6}}?\.(?:{ENDINGS})\b")
@@ -178,9 +184,13 @@ AT_HINT = re.compile(rf"(?i)\sat\s{{1,3}}[a-z0-9-]{{1,63}}(?:\.[a-z0-9-]{{1,63}}
 def _signs_disguised(text: str) -> bool:
     if any(bracket in text for bracket in "[({<") and BRACKET_HINT.search(text):
         return True
-    if "@" in text and SPACED_AT.search(text):
+    if "@" in text and (SPACED_AT.search(text) or SPACED_DOTS.search(text)):
+        return True
+    if "_at_" in text or "AT" in text and CAPITALS_HINT.search(text):
         return True
     lowered = text.lower()
+    if "_at_" in lowered:
+        return True
     return bool(("dot" in lowered and DOT_HINT.search(text)) or (" at" in lowered and AT_HINT.search(text)))
 
 
@@ -194,6 +204,10 @@ def sign_words(text: Rewritten) -> Rewritten:
     if not _signs_disguised(text.text):
         return text
     text = text.replace([(*m.span(), "@" if m["at"] else ".") for m in BRACKETED.finditer(text.text)])
+    if CAPITALS_HINT.search(text.text):
+        text = text.replace([(*m.span(), "@" if m["at"] else ".") for m in CAPITALS.finditer(text.text)])
+    spaced = [d.span() for m in SPACED_DOTS.finditer(text.text) for d in SPACED_DOT.finditer(text.text, *m.span())]
+    text = text.replace([(*span, ".") for span in spaced])
     text = text.replace([(*m.span(), "\x00") for m in SPOKEN_DOT.finditer(text.text)])
     for form in (SPOKEN_AT, NAMED_AT, SPACED_AT):
         text = text.replace([(*m.span("at"), "@") for m in form.finditer(text.text)])
@@ -208,6 +222,24 @@ def _places(text: str, char: str) -> list[int]:
     return out
 
 
+#: A number in which letters stand for some digits; at least seven are digits.
+LETTER_DIGITS = re.compile(r"(?<![A-Za-z0-9.])[+]?[0-9OoIl](?:[ ().-]{0,2}[0-9OoIl]){9,}(?![A-Za-z0-9])")
+# Letters in the place of digits.
+DIGIT_LETTERS = {"O": "0", "o": "0", "I": "1", "l": "1"}
+
+
+def letter_digits(text: Rewritten) -> Rewritten:
+    """Letters that stand for digits inside long numbers."""
+    if len(DIGITS.findall(text.text)) < 7:
+        return text
+    changes = []
+    for m in LETTER_DIGITS.finditer(text.text):
+        if len(DIGITS.findall(m[0])) >= 7:
+            places = range(m.start(), m.end())
+            changes += [(k, k + 1, DIGIT_LETTERS[text.text[k]]) for k in places if text.text[k] in DIGIT_LETTERS]
+    return text.replace(changes)
+
+
 _NUMERAL = "(?:" + "|".join(NUMERALS) + ")"
 SPELLED = re.compile(rf"(?i)\b{_NUMERAL}(?:(?:\s|-|,\s|\.\s?)?(?:\b{_NUMERAL}\b|[0-9]))*\b")
 NUMERAL = re.compile(rf"(?i){_NUMERAL}|[0-9]|\.(?!\s)")
@@ -239,7 +271,7 @@ def added_spans(text: str, base: list[SPAN]) -> list[SPAN]:
     if plain is None:
         return []
     found = []
-    for step in (fold_lookalikes, sign_words, spelled_digits):
+    for step in (fold_lookalikes, letter_digits, sign_words, spelled_digits):
         changed = step(plain)
         if changed is not plain:
             plain = changed
@@ -257,6 +289,10 @@ def added_spans(text: str, base: list[SPAN]) -> list[SPAN]:
 
 
 def _may_hide(text: str) -> bool:
+    if len(DIGITS.findall(text)) >= 7 and any(
+        not DIGIT_LETTERS.keys().isdisjoint(m[0]) for m in LETTER_DIGITS.finditer(text)
+    ):
+        return True
     return bool(UNUSUAL.search(text) or _signs_disguised(text) or SPELLED_HINT.search(text))
 
 

@@ -84,6 +84,11 @@ def test_base_spans_as_the_contract_says(tables):
         ("call plus one five five five five five five zero one zero zero now", "phone", "plus one five five five five five five zero one zero zero"),
         ("card four one one one 1111 one one one one 1 1 1 1 ok", "card", "four one one one 1111 one one one one 1 1 1 1"),
         ("host one nine two dot one six eight dot zero dot one up", "ip", "one nine two dot one six eight dot zero dot one"),
+        ("mail bob_at_mail_dot_com now", "email", "bob_at_mail_dot_com"),
+        ("mail bobATmailDOTexampleDOTcom now", "email", "bobATmailDOTexampleDOTcom"),
+        ("mail bob @ mail . example . com now", "email", "bob @ mail . example . com"),
+        ("card 4lll 1111 llll 1111 ok", "card", "4lll 1111 llll 1111"),
+        ("call +1 (555) 555-O1OO now", "phone", "+1 (555) 555-O1OO"),
         ("host 10[.]0[.]0[.]1 up", "ip", "10[.]0[.]0[.]1"),
         ("host ١٩٢.١٦٨.٠.١ up", "ip", "١٩٢.١٦٨.٠.١"),
     ],
