@@ -32,7 +32,7 @@ BITS = 20
 SAMPLE_ROWS = 16_000
 #: So many features stay; with 16,000 rows at most 16 million numbers reach the driver.
 FEATURES = 1_024
-RIDGE = 0.3
+RIDGE = 1.0
 #: Characters that are hashed at a time, some 100 bytes each.
 SLICE = 1 << 18
 STEPS = 400
