@@ -53,7 +53,7 @@ def union_summaries(*summaries: DataFrame, required: set[str] | None = None) ->
     }
     missing = sorted(required - set(out.columns))
     if missing:
-        raise ValueError(f"Missing columns in summaries: {missing}")
+        raise ValueError(f"the summaries lack {', '.join(missing)}")
     return out
 
 
