@@ -35,7 +35,7 @@ from coppice.llm.common import per_worker, slices, text_or_empty
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 DOCS_PER_SHARD = 4_096
-KEPT_UNITS = 100_000
+KEPT_UNITS = 200_000
 #: Mean keys of a bucket of the hash; larger ones make the table of seeds smaller and slower to find.
 BUCKET = 4
 MASK = 2**64 - 1
@@ -64,13 +64,31 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code = f"<u{self.width}"
-        self.older: dict[str, dict[str, bytes]] = {}
-        self.heads: dict[str, bytes] = {}  # units that start a text
-        self.tails: dict[str, bytes] = {}  # units after a space
+        line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_end = line_end[0] if len(line_end) == 1 else None
+        # By what stands before a unit: nothing at the start of a text or line, else a space.
+        self.known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
+        self.older: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, dtype=self.code).tobytes() for c in coded]
+        return [np.array(c.ids, self.code).tobytes() for c in coded]
+
+    def _together(self, pieces: list[str], size: int = 2_000) -> list[bytes]:
+        """Ids of pieces by few calls: they become the lines of one text, whose ends have an id of their own."""
+        if self.line_end is None:
+            return self._library(pieces)
+        groups = [pieces[k : k + size] for k in range(0, len(pieces), size)]
+        out = []
+        for group, raw in zip(groups, self._library(["\n".join(group) for group in groups])):
+            ends = np.flatnonzero(np.frombuffer(raw, self.code) == self.line_end) * self.width
+            if len(ends) != len(group) - 1:  # a piece has line ends itself
+                out += self._library(group)
+                continue
+            ends = ends.tolist()
+            starts = [0, *(end + self.width for end in ends)]
+            out += [raw[start:end] for start, end in zip(starts, [*ends, len(raw)])]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Raw ids of each text."""
@@ -80,28 +98,71 @@ class Encoder:
         return out
 
     def _encode_slice(self, texts: list[str]) -> list[bytes]:
+        for before, known in self.known.items():
+            if len(known) > KEPT_UNITS:
+                # Units in use move over from the older generation; rare ones are forgotten.
+                self.older[before], self.known[before] = known, {}
         split = [text.split(" ") for text in texts]
-        heads = {units.pop(0) for units in split}
-        self._learn(self.heads, heads, "")
-        self._learn(self.tails, set().union(*split), " ")
+        first = [units.pop(0) for units in split]
+        self._learn("", set(first))
+        self._learn(" ", set().union(*split))
+        heads, tails = self.known[""], self.known[" "].__getitem__
         out = []
-        for text, units in zip(texts, split):
+        for text, head, units in zip(texts, first, split):
             try:
-                head = self.heads[text.partition(" ")[0]]
-                out.append(head + b"".join(map(self.tails.__getitem__, units)))
+                out.append(heads[head] + b"".join(map(tails, units)))
             except KeyError:
                 out.append(self._library([text])[0])
         return out
 
-    def _learn(self, known: dict[str, bytes], units: set[str], before: str) -> None:
-        if len(known) > KEPT_UNITS:
-            # Units in use move over from the older generation; rare ones are forgotten.
-            self.older[before] = dict(known)
-            known.clear()
-        older = self.older.get(before, {})
-        known.update((u, older[u]) for u in units & older.keys())
-        fresh = [u for u in units - known.keys() if u and not u[0].isspace() and not u[-1].isspace()]
-        known.update(zip(fresh, self._library([before + u for u in fresh])))
+    def _learn(self, before: str, units: set[str]) -> None:
+        """Ids of units that can stand alone; a unit of several pieces is put together from theirs."""
+        whole, rest, cut = set(), set(), []
+        for unit in self._missing(before, units):
+            if unit.isalpha():
+                whole.add(unit)
+            elif unit and not unit[0].isspace() and not unit[-1].isspace():
+                pieces = _pieces(unit)
+                cut.append((unit, pieces))
+                whole.add(pieces[0])
+                rest.update(pieces[1:])
+        for place, wanted in ((before, whole), ("", rest)):
+            new = list(self._missing(place, wanted))
+            self.known[place].update(zip(new, self._together([place + piece for piece in new])))
+        known, others = self.known[before], self.known[""].__getitem__
+        for unit, pieces in cut:
+            known[unit] = known[pieces[0]] + b"".join(map(others, pieces[1:]))
+
+    def _missing(self, before: str, units: set[str]) -> set[str]:
+        """The units that are not known, after those of the older generation have moved over."""
+        known, older = self.known[before], self.older[before]
+        missing = units.difference(known)
+        if older:
+            moved = [unit for unit in missing if unit in older]
+            known.update(zip(moved, map(older.__getitem__, moved)))
+            missing.difference_update(moved)
+        return missing
+
+
+#: ASCII characters that are no letter, digit, apostrophe or white space.
+SIGNS = ".,!?;:%$#&*\"()[]{}|/+-<>=~^_@`\\"
+
+
+def _pieces(unit: str) -> list[str]:
+    """The unit, cut at further places where the pre-tokenizer starts anew.
+
+    These are a line end with other characters on both sides, and the change from
+    letters to the signs at the end of a line.
+    """
+    lines = unit.split("\n")
+    if len(lines) > 1 and any(not line or line[0].isspace() or line[-1].isspace() for line in lines):
+        return [unit]
+    out = []
+    for line in lines:
+        word = line.rstrip(SIGNS)
+        cut = len(word) if len(word) < len(line) and word.isalpha() else len(line)
+        out += [line[:cut], line[cut:], "\n"] if cut < len(line) else [line, "\n"]
+    return out[:-1]
 
 
 def _encoder(tokenizer_file: str | None) -> Encoder:
@@ -241,7 +302,7 @@ def write_ids(
 
         shard = TaskContext.get().partitionId()
         encoder = _encoder(tokenizer_file)
-        end = np.array([end_id], encoder.code).tobytes()
+        end = end_id.to_bytes(encoder.width, "little")
         keys, lengths = [], []
 
         def parts() -> Iterator[bytes]:
