@@ -27,7 +27,7 @@ from coppice.llm.common import per_worker, sha256_text, text_or_empty
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
 #: Units and parts that a worker keeps in one generation, some 300 bytes each.
-KEPT_UNITS, KEPT_PARTS = 80_000, 60_000
+KEPT_UNITS, KEPT_PARTS = 100_000, 200_000
 #: Characters up to which a part's agenda is a list.
 SHORT = 48
 NEVER = float("inf")
