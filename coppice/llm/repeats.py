@@ -16,8 +16,11 @@ order gives the matching statistics of all positions, against the neighbour abov
 below; a window repeats if one of the two reaches ``length`` or its segment has copies.
 
 *Hot names.* A name with many different segments (near copies with scattered edits) is
-named again by longer grams, which only segments equal over most of a window share, so
-no task gets all its variants.
+named again by longer grams, which only segments equal over most of a window share. A
+second name that still has many variants (the edges of a passage in many surroundings)
+has its windows counted one by one: equal windows are summed up before and after a
+shuffle by their digests, and those found twice go back to their segments by a join. So
+no task gets all variants of a name.
 
 What is shuffled: hashes of anchors (one in about 150 bytes), the texts twice, and the
 segments under repeated names.
@@ -31,6 +34,7 @@ ids are allowed.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,8 +48,10 @@ from coppice.store import Store
 LENGTH = 400
 #: Grams of the first and second naming, as shares of the length.
 GRAM, LONG_GRAM = 0.25, 0.8
-#: A name with more different segments than this is named again.
+#: A name with more different segments than this is named again, a second name has its windows counted.
 HOT_SEGMENTS = 64
+#: The segments of a name meet its flag in so many lanes.
+FLAG_LANES = 64
 #: Windows of a text that are named at a time, and bytes of one index.
 STRETCH = 1 << 18
 INDEX_BYTES = 1 << 20
@@ -214,6 +220,7 @@ def _ranges(flags: np.ndarray) -> list[list[int]]:
 RECORD = "h long, s long, a long, b long, start int, windows int, n long, named int"
 PIECE = "h long, s long, n long, hot boolean, piece binary"
 MARKS = "h long, s long, ranges array<array<int>>"
+WINDOW = "v long, w long, h long, s long, start int, n long"
 
 
 def _records(length: int, gram: int):
@@ -295,6 +302,88 @@ def _index(length: int, most: int = INDEX_BYTES):
     return run
 
 
+def _window_digests(raw: bytes, length: int) -> list[bytes]:
+    import xxhash
+
+    return [xxhash.xxh3_128_digest(raw[k : k + length]) for k in range(len(raw) - length + 1)]
+
+
+def _windows(length: int, slice_rows: int = 50_000):
+    """The different windows of each segment: digest in two halves, the first place and the number of copies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [field.split()[0] for field in WINDOW.split(", ")]
+        kinds = [pa.int64()] * 4 + [pa.int32(), pa.int64()]
+
+        def made(rows: list[tuple]) -> pa.RecordBatch:
+            halves = np.frombuffer(b"".join(row[0] for row in rows), "<i8").reshape(-1, 2)
+            columns = [halves[:, 0].copy(), halves[:, 1].copy(), *([row[k] for row in rows] for k in range(1, 5))]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+
+        rows: list[tuple] = []
+        for batch in batches:
+            for h, s, n, piece in zip(*(batch[c] for c in ("h", "s", "n", "piece"))):
+                h, s, n = h.as_py(), s.as_py(), n.as_py()
+                places: dict[bytes, list[int]] = {}
+                for start, digest in enumerate(_window_digests(piece.as_buffer().to_pybytes(), length)):
+                    places.setdefault(digest, [start, 0])[1] += 1
+                for digest, (start, count) in places.items():
+                    rows.append((digest, h, s, start, n * count))
+                    if len(rows) >= slice_rows:
+                        yield made(rows)
+                        rows = []
+        yield made(rows)
+
+    return run
+
+
+def _own_repeats(length: int):
+    """Windows of each segment that stand twice in it, or all if it has copies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns: list[list] = [[], [], []]
+            for h, s, n, piece in zip(*(batch[c] for c in ("h", "s", "n", "piece"))):
+                digests = _window_digests(piece.as_buffer().to_pybytes(), length)
+                counts = Counter(digests)
+                ranges = [[0, len(digests)]] if n.as_py() > 1 else _ranges(np.array([counts[d] > 1 for d in digests]))
+                if ranges:
+                    for column, value in zip(columns, (h.as_py(), s.as_py(), ranges)):
+                        column.append(value)
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["h", "s", "ranges"])
+
+    return run
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges of consecutive windows from the lists of their places."""
+    for batch in batches:
+        ranges = []
+        for starts in batch["starts"].to_pylist():
+            starts = sorted(starts)
+            firsts = [k for k in range(len(starts)) if not k or starts[k] > starts[k - 1] + 1]
+            ranges.append([[starts[k], starts[e - 1] + 1] for k, e in zip(firsts, [*firsts[1:], len(starts)])])
+        yield pa.RecordBatch.from_arrays([batch["h"], batch["s"], pa.array(ranges, pa.list_(pa.list_(pa.int32())))], ["h", "s", "ranges"])
+
+
+def _counted(pieces: DataFrame, length: int, store: Store) -> DataFrame:
+    """The marks of segments whose names have too many for one index, by the sums of equal windows."""
+    windows = store.keep(pieces.mapInArrow(_windows(length), WINDOW), "windows")
+    twice = windows.groupBy("v", "w").agg(F.sum("n").alias("places")).where("places > 1").select("v", "w")
+    shared = windows.where("n = 1").join(twice, ["v", "w"], "left_semi")
+    shared = shared.groupBy("h", "s").agg(F.collect_list("start").alias("starts")).mapInArrow(_runs, MARKS)
+    return shared.union(pieces.mapInArrow(_own_repeats(length), MARKS))
+
+
+def _flagged(classes: DataFrame, hot_segments: int) -> DataFrame:
+    """The segments with ``hot`` for those under names with more than ``hot_segments``."""
+    hot = classes.groupBy("h").count().where(F.col("count") > hot_segments)
+    hot = hot.select("h", F.explode(F.sequence(F.lit(0), F.lit(FLAG_LANES - 1))).alias("lane"), F.lit(True).alias("hot"))
+    dealt = classes.withColumn("lane", F.pmod("s", F.lit(FLAG_LANES)).cast("int"))
+    return dealt.join(hot, ["h", "lane"], "left").drop("lane").withColumn("hot", F.coalesce("hot", F.lit(False)))
+
+
 def _repeated(records: DataFrame, store: Store, label: str) -> tuple[DataFrame, DataFrame]:
     """The records whose name occurs twice, also in one record, and their different segments with the number of copies."""
     names = records.groupBy("h").agg(F.sum(F.col("n") * F.col("named")).alias("places")).where("places > 1").select("h")
@@ -330,9 +419,7 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH, hot_segments: int = H
     records = store.keep(one.mapInArrow(_records(length, gram), RECORD), "anchors")
     live, classes = _repeated(records, store, "first")
     classes = store.keep(classes, "segments")
-    hot = classes.groupBy("h").count().where(F.col("count") > hot_segments).select("h", F.lit(True).alias("hot"))
-    flagged = classes.join(hot, "h", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    pieces = store.keep(_pieces(flagged, rows, length), "pieces")
+    pieces = store.keep(_pieces(_flagged(classes, hot_segments), rows, length), "pieces")
     marks = _marked(pieces.where("not hot"), length)
 
     # The segments of hot names are the rows of a second naming by longer grams.
@@ -341,8 +428,10 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH, hot_segments: int = H
         again = store.keep(again, "hot")
         finer = store.keep(again.mapInArrow(_records(length, long_gram), RECORD), "finer")
         finer_live, finer_classes = _repeated(finer, store, "second")
-        finer_pieces = _pieces(finer_classes.withColumn("hot", F.lit(True)), again, length)
-        finer_marks = store.keep(_marked(finer_pieces, length), "finer-marks")
+        finer_classes = store.keep(finer_classes, "finer-segments")
+        finer_pieces = store.keep(_pieces(_flagged(finer_classes, hot_segments), again, length), "finer-pieces")
+        finer_marks = _marked(finer_pieces.where("not hot"), length).union(_counted(finer_pieces.where("hot"), length, store))
+        finer_marks = store.keep(finer_marks, "finer-marks")
         moved = _moved(finer_live, finer_marks)
         marks = marks.union(moved.select(F.col("a").alias("h"), F.col("b").alias("s"), "ranges"))
     return _moved(live, store.keep(marks, "marks"))

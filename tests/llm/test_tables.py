@@ -150,6 +150,27 @@ def test_repeats_by_brute_force(spark, tables, edges):
             assert check_repeats(docs, length, hot_segments=hot) > 0
 
 
+def test_no_index_holds_all_variants_of_a_name(spark, monkeypatch):
+    """A passage in other surroundings each time: its edges are one different segment a row under few second names."""
+    rng = np.random.default_rng(12)
+    passage = "".join(rng.choice(list("abcdef "), 90))
+    rows = []
+    for k in range(120):
+        before, after = ("".join(rng.choice(list("uvwxyz "), int(rng.integers(60, 90)))) for _ in "ab")
+        rows.append((k, before + passage + after))
+    rows += [(k % 7, rows[k][1]) for k in range(3)] + [(200, rows[5][1][:-20]), (201, "pq" * 100), (202, "pq" * 70 + passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    most, marked = [], repeats._marked
+
+    def measured(pieces, length):
+        most.append(max((r["count"] for r in pieces.select("h", "s").distinct().groupBy("h").count().collect()), default=0))
+        return marked(pieces, length)
+
+    monkeypatch.setattr(repeats, "_marked", measured)
+    assert check_repeats(docs, 60, hot_segments=8) > 0
+    assert len(most) == 2 and max(most) <= 8
+
+
 def test_run_length_index():
     rng = np.random.default_rng(4)
     for size, letters in ((1, 1), (5, 1), (200, 1), (300, 2), (300, 4), (64, 3)):
