@@ -1,8 +1,8 @@
 """License notices by ordered signature rules.
 
 Rules are regular expressions over the words of a text (lower-cased A-Z, joined by one
-space). Each rule names a keyword; only rules whose keyword is in the text run. Every
-match is a detection with the rule's label, priority and weight. Overlaps are settled in
+space). Each rule names keywords, of which every form it matches holds one; only rules with
+a keyword in the text run. Every match is a detection with the rule's label, priority and weight. Overlaps are settled in
 the order of priority, then length, then place: a detection that lies inside an accepted
 one is suppressed, so that a full notice hides the license name within it and a longer
 name the shorter one.
@@ -28,10 +28,10 @@ from coppice.llm.common import per_worker, text_or_empty, words_of
 # The base phrases and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-# Label, keyword, and names as word patterns. Common names and identifiers of licenses.
+# Label, keywords, and names as word patterns. Common names and identifiers of licenses.
 NAMES = (
-    ("0bsd", "0bsd", "0bsd|bsd zero clause license|zero clause bsd"),
-    ("afl-3.0", "academic", "academic free license(?: version| v)?(?: 3 0| 3)?|afl 3 0"),
+    ("0bsd", "0bsd|zero clause", "0bsd|bsd zero clause license|zero clause bsd"),
+    ("afl-3.0", "academic|afl", "academic free license(?: version| v)?(?: 3 0| 3)?|afl 3 0"),
     ("agpl-3.0", "affero", "(?:gnu )?affero general public license(?: version 3| v3)?(?: or later)?"),
     ("agpl-3.0", "agpl", "(?:gnu )?agpl(?: ?v?3)?(?: 0)?(?: only| or later)?"),
     ("apache-1.1", "apache", "apache(?: software)? license(?: version| v)? 1 1|apache 1 1"),
@@ -41,8 +41,8 @@ NAMES = (
     ("bsd-3-clause", "bsd", "(?:new|modified|revised|3 clause|three clause) bsd license|bsd 3 clause(?: license)?"),
     ("bsd-4-clause", "bsd", "(?:original|4 clause|four clause) bsd license|bsd 4 clause(?: license)?"),
     ("bsd", "bsd", "bsd(?: style)? licen[cs]e"),
-    ("bsl-1.0", "boost", "boost software license(?: version| v)?(?: ?1 0| 1)?|bsl 1 0"),
-    ("busl-1.1", "business", "business source license(?: 1 1)?|busl 1 1"),
+    ("bsl-1.0", "boost|bsl", "boost software license(?: version| v)?(?: ?1 0| 1)?|bsl 1 0"),
+    ("busl-1.1", "business|busl", "business source license(?: 1 1)?|busl 1 1"),
     ("cc-by-4.0", "creative", "creative commons attribution(?: 4 0)?(?: international)?(?: public)? license"),
     ("cc-by-4.0", "cc", "cc by(?: 4 0)?"),
     ("cc-by-3.0", "cc", "cc by 3 0(?: unported)?"),
@@ -80,13 +80,13 @@ NAMES = (
     ("lgpl-3.0", "lesser", "(?:gnu )?lesser general public license(?: version| v)? ?v?3(?: 0)?(?: only| or later)?"),
     ("lgpl", "lesser", "(?:gnu )?lesser general public license"),
     ("lgpl", "lgpl", "(?:gnu )?lgpl(?: ?v?[23](?: [01])?)?(?: only| or later)?"),
-    ("mit", "mit", "mit licen[cs]e|expat license"),
+    ("mit", "mit|expat", "mit licen[cs]e|expat license"),
     ("mit-0", "mit", "mit no attribution(?: license)?|mit 0"),
     ("mpl-1.1", "mozilla", "mozilla public license(?: version| v)? ?v?1 1"),
     ("mpl-2.0", "mozilla", "mozilla public license(?: version| v)?(?: ?v?2(?: 0)?)?"),
     ("mpl-2.0", "mpl", "mpl ?v?2(?: 0)?"),
-    ("ms-pl", "microsoft", "microsoft public license|ms pl"),
-    ("ms-rl", "microsoft", "microsoft reciprocal license|ms rl"),
+    ("ms-pl", "microsoft|ms pl", "microsoft public license|ms pl"),
+    ("ms-rl", "microsoft|ms rl", "microsoft reciprocal license|ms rl"),
     ("ncsa", "ncsa", "(?:university of illinois )?ncsa open source license"),
     ("odbl-1.0", "database", "open (?:data commons open )?database license(?: v?1 0)?"),
     ("ofl-1.1", "font", "(?:sil )?open font license(?: version| v)?(?: 1 1)?"),
@@ -122,7 +122,7 @@ FORMS = (
     (50, 0.8, r"(?:{name})"),
 )
 
-# Sentences of license texts; label, keyword, pattern, priority, weight.
+# Sentences of license texts; label, keywords, pattern, priority, weight.
 SENTENCES = (
     ("mit", "hereby", "permission is hereby granted free of charge to any person obtaining a copy", 85, 0.95),
     ("mit", "sublicense", "to use copy modify merge publish distribute sublicense and or sell copies", 85, 0.9),
@@ -146,7 +146,7 @@ SENTENCES = (
     ("cc0-1.0", "waived", "has waived all copyright and related or neighboring rights", 84, 0.9),
     ("public-domain", "domain", "(?:released|placed|dedicated|is) (?:in|into|to) the public domain", 70, 0.8),
     ("ofl-1.1", "font", "this font software is licensed under the sil open font license", 88, 0.99),
-    ("artistic-2.0", "artistic", "under the same terms as perl itself|under the artistic license", 80, 0.9),
+    ("artistic-2.0", "artistic|perl", "under the same terms as perl itself|under the artistic license", 80, 0.9),
     ("beerware", "beer", "beer ?ware license|buy me a beer in return", 80, 0.9),
     ("json", "evil", "the software shall be used for good not evil", 85, 0.95),
     ("proprietary", "proprietary", "proprietary and confidential|proprietary license|licensed proprietary", 60, 0.7),
@@ -176,12 +176,13 @@ class Detection:
 
 
 def rules() -> dict[bytes, list[Rule]]:
-    """All rules by their keywords."""
-    listed = [(label, key, form.format(name=name), priority, weight) for label, key, name in NAMES for priority, weight, form in FORMS]
+    """All rules by their keywords; a rule with several stands under each."""
+    listed = [(label, keys, form.format(name=name), priority, weight) for label, keys, name in NAMES for priority, weight, form in FORMS]
     by_key: dict[bytes, list[Rule]] = {}
-    for number, (label, key, pattern, priority, weight) in enumerate([*listed, *SENTENCES]):
+    for number, (label, keys, pattern, priority, weight) in enumerate([*listed, *SENTENCES]):
         compiled = re.compile(rf"(?<= )(?:{pattern})(?= )".encode())
-        by_key.setdefault(key.encode(), []).append(Rule(number, label, priority, weight, compiled))
+        for key in keys.split("|"):
+            by_key.setdefault(key.encode(), []).append(Rule(number, label, priority, weight, compiled))
     return by_key
 
 
@@ -200,9 +201,13 @@ def base_places(words: list[bytes], line: bytes) -> list[tuple[int, str]]:
 def detect(line: bytes, by_key: dict[bytes, list[Rule]]) -> list[Detection]:
     """Detections that stay, by place; ``line`` is the words, each between spaces."""
     found = []
+    ran = set()
     for key, group in by_key.items():
         if key in line:
             for rule in group:
+                if rule.number in ran:
+                    continue
+                ran.add(rule.number)
                 for m in rule.pattern.finditer(line):
                     found.append((-rule.priority, m.start() - m.end(), m.start(), rule.number, m.end(), rule))
     kept: list[tuple[int, int, Rule]] = []

@@ -264,6 +264,49 @@ def test_license_rules():
     assert [x[2] for x in found("Licensed under CC BY-NC 4.0. All rights reserved.")] == ["cc-by-nc", "proprietary"]
 
 
+def forms_of(parsed):
+    """All texts that a pattern without unbounded repeats matches."""
+    out = {""}
+    for op, value in parsed:
+        match str(op):
+            case "LITERAL":
+                parts = {chr(value)}
+            case "IN":
+                parts = {chr(c) for kind, v in value for c in ([v] if str(kind) == "LITERAL" else range(v[0], v[1] + 1))}
+            case "SUBPATTERN":
+                parts = forms_of(value[-1])
+            case "BRANCH":
+                parts = set().union(*map(forms_of, value[1]))
+            case "MAX_REPEAT":
+                assert value[:2] == (0, 1)
+                parts = {""} | forms_of(value[2])
+        out = {a + b for a in out for b in parts}
+    return out
+
+
+def test_every_form_of_a_license_holds_a_keyword():
+    by_key = licenses.rules()
+    for label, keys, pattern in [*licenses.NAMES, *(s[:3] for s in licenses.SENTENCES)]:
+        for form in forms_of(re._parser.parse(pattern)):
+            assert any(key in form for key in keys.split("|")), (label, form)
+    for name, label in (
+        ("Expat license", "mit"),
+        ("MS-PL", "ms-pl"),
+        ("MS-RL", "ms-rl"),
+        ("AFL-3.0", "afl-3.0"),
+        ("BSL-1.0", "bsl-1.0"),
+        ("BUSL-1.1", "busl-1.1"),
+        ("Zero-Clause BSD", "0bsd"),
+        ("BSD Zero Clause License", "0bsd"),
+    ):
+        for before in ("SPDX-License-Identifier: ", "licensed under the ", "released under ", "see the ", ""):
+            line = " ".join(["", *words(before + name), ""]).encode()
+            found = licenses.detect(line, by_key)
+            assert [d.label for d in found] == [label], line
+    found = licenses.detect(b" under the same terms as perl itself ", by_key)
+    assert [d.label for d in found] == ["artistic-2.0"]
+
+
 # --- pages -------------------------------------------------------------------
 
 
