@@ -5,8 +5,11 @@ weights come from labelled pages: those whose markup names their article (one
 ``<article>`` or ``<main>``), where it is known which words and tags lie inside. A
 word's weight depends on where it stands (nearest block, its class names, in a link or
 not), a tag's on its name and class names. One linear scan finds the best contiguous
-run; its words are the text, without those of elements that hold no article text
-(scripts, menus, forms, notices, adverts, comments and the like).
+run; its words are the text, without those of elements that hold no article text by
+their kind (scripts, menus, forms and the like) or are hidden. A class name, id or role
+such as "comments" drops nothing: it lowers the starting weight of the words below it, and
+pages with labels teach the weight itself. ``<html>``, ``<body>``, ``<main>`` and
+``<article>`` are never dropped, nor is the only article of a page within other elements.
 
 White space and block limits are single spaces; inline tags join what stands beside
 them. Character references are decoded.
@@ -52,7 +55,7 @@ BOILERPLATE = frozenset(
     "svg canvas object embed textarea label".split()
 )
 ARTICLE = ("article", "main")
-#: Words in class names, ids and roles of elements that hold no article text.
+#: Class names, ids and roles of elements that seldom hold article text.
 BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent "
     "disclaimer disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notification pagination "
@@ -68,8 +71,14 @@ NAMES = re.compile(r"(?i)(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*
 HIDDEN = re.compile(r"(?i)(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)")
 WORD_IN_NAME = re.compile(r"[A-Za-z]+")
 
+#: Elements that are never without article text.
+NEVER_DROPPED = frozenset(("html", "body", *ARTICLE))
+ARTICLE_STARTS = re.compile(rf"(?i)<(?:{'|'.join(ARTICLE)})[\s>]")
+
 #: Marks the kinds of tags that stand in an element without article text.
 DROPPED = " in boilerplate"
+#: Marks the kinds that stand in an element with a boilerplate name; a word there starts with so much.
+NAMED, NAMED_WORD = " under a name", 0.1
 
 
 @dataclass
@@ -89,21 +98,24 @@ class _Open:
     name: str
     kind: str
     dropped: bool
+    named: bool
     link: bool
     article: bool
 
 
-def _attributes(rest: str) -> tuple[str, bool]:
-    """Class names, ids and roles in order, and whether the element is no article text."""
-    found = [a or b or c for a, b, c in NAMES.findall(rest)] if "=" in rest else []
-    words = [w.lower() for name in found for w in WORD_IN_NAME.findall(name)]
-    return ".".join(sorted(set(words))), not BOILERPLATE_NAMES.isdisjoint(words) or bool(HIDDEN.search(rest))
+def _attributes(rest: str) -> tuple[str, bool, bool]:
+    """Class names, ids and roles in order, whether one of them is a boilerplate name, and whether the element is hidden."""
+    found = [(a or b or c).lower() for a, b, c in NAMES.findall(rest)] if "=" in rest else []
+    words = {w for name in found for w in WORD_IN_NAME.findall(name)}
+    named = any(not BOILERPLATE_NAMES.isdisjoint(name.split()) for name in found)
+    return ".".join(sorted(words)), named, bool(HIDDEN.search(rest))
 
 
 def pieces(page: str) -> list[Piece]:
     """Tags and stretches of text in order."""
     out: list[Piece] = []
-    stack = [_Open("", "", False, False, False)]
+    stack = [_Open("", "", False, False, False, False)]
+    only_article = len(ARTICLE_STARTS.findall(page)) == 1
     at = 0
 
     def text(start: int, end: int) -> None:
@@ -113,7 +125,7 @@ def pieces(page: str) -> list[Piece]:
             raw = page[start:end]
             words = 0 if raw.isspace() else raw.strip().count(" ") + 1
             decoded = html.unescape(raw) if "&" in raw else raw
-            out.append(Piece(f"word {block.kind}{' link' * top.link}", decoded, "", not top.dropped, top.article, words))
+            out.append(Piece(f"word {block.kind}{' link' * top.link}{NAMED * top.named}", decoded, "", not top.dropped, top.article, words))
 
     sign = page.find("<")
     while sign >= 0:
@@ -130,7 +142,8 @@ def pieces(page: str) -> list[Piece]:
         if m["close"]:
             places = [k for k, o in enumerate(stack) if o.name == name]
             kind = f"tag /{stack[places[-1]].kind}" if places else f"tag /{name}"
-            kind += DROPPED * stack[places[-1] - 1 if places else -1].dropped
+            around = stack[places[-1] - 1 if places else -1]
+            kind += NAMED * around.named + DROPPED * around.dropped
             inside = stack[-1].article and name not in ARTICLE
             if places:
                 inside = stack[places[-1] - 1].article if name in ARTICLE else inside
@@ -143,14 +156,18 @@ def pieces(page: str) -> list[Piece]:
                 del stack[places[-1] :]
         elif name in ("li", "tr", "td", "th", "dt", "dd", "option") and stack[-1].name == name:
             stack.pop()
-        names, dropped = _attributes(m["rest"]) if m["rest"] else ("", False)
+        names, named, hidden = _attributes(m["rest"]) if m["rest"] else ("", False, False)
         top = stack[-1]
         kind = f"{name}.{names}" if names else name
         article = top.article or name in ARTICLE
-        out.append(Piece(f"tag {kind}{DROPPED * top.dropped}", "", name, True, top.article))
+        out.append(Piece(f"tag {kind}{NAMED * top.named}{DROPPED * top.dropped}", "", name, True, top.article))
         if name in VOID or m["rest"].endswith("/") and name not in RAW:
             continue
-        stack.append(_Open(name, kind, top.dropped or dropped or name in BOILERPLATE, top.link or name == "a", article))
+        if name in NEVER_DROPPED:
+            dropped, named = top.dropped and not (only_article and name in ARTICLE), False
+        else:
+            dropped, named = top.dropped or hidden or name in BOILERPLATE, top.named or named
+        stack.append(_Open(name, kind, dropped, named, top.link or name == "a", article))
         if name in RAW:
             ended = re.compile(rf"(?i)</{name}(?=[\s/>])|\Z").search(page, at)
             at = ended.start()
@@ -170,7 +187,8 @@ class Weights:
         if not piece.name:
             if not piece.kept:
                 return -0.1 * piece.words
-            return piece.words * (1.0 if known is None else known)
+            starting = NAMED_WORD if piece.kind.endswith(NAMED) else 1.0
+            return piece.words * (starting if known is None else known)
         if piece.kind.endswith(DROPPED):
             return -0.1  # what it holds is left out anyhow
         if known is not None:

@@ -320,6 +320,33 @@ def test_main_text_of_all_pages(spark, tables):
         assert got[r["page_id"]] == " ".join(html.unescape(body).split())
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><body class='has-sidebar no-header'><p>{}</p></body></html>",
+        "<html class='no-ads'><body class='sidebar' hidden><p>{}</p></body></html>",
+        "<html><body><article class='post comments-open share'><p>{}</p></article></body></html>",
+        "<html><body><div id='header-and-content'><p>{}</p></div></body></html>",
+        "<html><body><p class=share-price>{}</p></body></html>",
+        "<html><body><div class='widget content'><p>{}</p></div></body></html>",
+        "<html><body><form action=x><div hidden><main role=main><p>{}</p></main></div></form></body></html>",
+    ],
+)
+def test_names_drop_no_page(page):
+    text = " ".join(f"word{k}" for k in range(200))
+    assert html_extract.extract(page.format(text), html_extract.Weights()) == text
+
+
+def test_weights_of_named_places_are_learnt(spark):
+    page = "<body><div class=promo><p>{0} out of it</p></div><article><p>{0} before</p><p class=tags>{0} within</p></article></body>"
+    pages = spark.createDataFrame([(k, page.format(f"text {k} " * 5)) for k in range(20)], "page_id long, html string")
+    weights = html_extract.fit(pages)
+    assert weights.learnt["word p.tags" + html_extract.NAMED] == 1 and weights.learnt["word p" + html_extract.NAMED] == -1
+    for r in html_extract.main_texts(pages, weights).collect():
+        own = ("text %d " % r["page_id"]) * 5
+        assert r["text"] == f"{own}before {own}within"
+
+
 def test_page_edges(spark):
     rows = [
         (1, None),
