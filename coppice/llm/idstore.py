@@ -56,7 +56,8 @@ class Encoder:
     The pattern of the pre-tokenizer starts a new token at every space that has a
     character other than white space on both sides, so the ids of a text are those of
     its units one after the other. Units repeat; each worker keeps those it has seen.
-    Texts with other white space beside a space are encoded whole.
+    Texts with other white space beside a space or with an added token of the library
+    are encoded whole.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -64,7 +65,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code = f"<u{self.width}"
         line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
@@ -109,13 +110,17 @@ class Encoder:
             if len(known) > KEPT_UNITS:
                 # Units in use move over from the older generation; rare ones are forgotten.
                 self.older[before], self.known[before] = known, {}
-        split = [text.split(" ") for text in texts]
+        whole = [any(mark in text for mark in self.added) for text in texts]
+        split = [[""] if alone else text.split(" ") for text, alone in zip(texts, whole)]
         first = [units.pop(0) for units in split]
         self._learn("", set(first))
         self._learn(" ", set().union(*split))
         heads, tails = self.known[""], self.known[" "].__getitem__
         out = []
-        for text, head, units in zip(texts, first, split):
+        for text, alone, head, units in zip(texts, whole, first, split):
+            if alone:
+                out.append(self._library([text])[0])
+                continue
             try:
                 out.append(heads[head] + b"".join(map(tails, units)))
             except KeyError:

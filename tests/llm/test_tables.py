@@ -258,6 +258,19 @@ def test_ids_read_back(spark, tables, edges, frame):
             assert Counter(tuple(r) for r in got) == Counter(want)
 
 
+def test_added_tokens_get_their_own_ids(spark, frame):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = library.id_to_token(50256)
+    texts = [f"one {mark} two", mark, f"a{mark}b {mark}\n{mark}", "no mark <| endoftext |> here", f"{mark[:-1]} x"]
+    want = [c.ids + [0] for c in library.encode_batch(texts, add_special_tokens=False)]
+    assert [50256 in ids for ids in want] == [True, True, True, False, False]
+    got = idstore.write_and_read(frame(list(enumerate(texts))), Store(spark, "ids")).collect()
+    assert {r["doc_id"]: r["ids_crc32"] for r in got} == {k: zlib.crc32(np.array(ids, "<u4").tobytes()) for k, ids in enumerate(want)}
+
+
 def test_keyed_access(spark, tables):
     docs = tables("documents")
     store = Store(spark, "ids")
