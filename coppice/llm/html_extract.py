@@ -2,22 +2,31 @@
 
 A page becomes a sequence of words and tags. A word scores positive, a tag negative; the
 weights come from labelled pages: those whose markup names their article (one
-``<article>`` or ``<main>``), where it is known which words and tags lie inside. A
-word's weight depends on where it stands (nearest block, its class names, in a link or
+``<article>``, or else one ``<main>``), where it is known which words and tags lie inside.
+A word's weight depends on where it stands (nearest block, its class names, in a link or
 not), a tag's on its name and class names. One linear scan finds the best contiguous
-run; its words are the text, without those of elements that hold no article text by
-their kind (scripts, menus, forms and the like) or are hidden. A class name, id or role
-such as "comments" drops nothing: it lowers the starting weight of the words below it, and
-pages with labels teach the weight itself. ``<html>``, ``<body>``, ``<main>`` and
-``<article>`` are never dropped, nor is the only article of a page within other elements.
+run.
+
+What of the run is article text is a decision of its own. Elements that hold none by
+their kind (scripts, menus, forms and the like) or that are hidden are left out; they
+cost the scan next to nothing, so short paragraphs behind them stay. An element with a
+class name, id or role such as "comments" or "cookie-banner" is judged by its words:
+names of adverts, notices and comments leave it out where there is other text to speak
+of, names that wrappers bear as well ("widget", "header") only where the other text is
+longer and labelled pages did not teach that the article holds such elements. A page
+whose whole text is in one wrapper keeps it, whatever its name.
+
+On a page that names its article the words outside score negative and the tags inside
+nothing: the run is the article, and no list or short paragraph at its end is lost.
 
 White space and block limits are single spaces; inline tags join what stands beside
-them. Character references are decoded.
+them. Character references are decoded. All steps are linear in the page.
 
 Edge cases: a null or empty page, one without words, or one whose best run is not
 positive gives the empty text. Markup that breaks off is read to its end. Ties go to the
 earliest and then the longest run. Repeated rows are treated alike; rows without an id
-are kept. Without labelled pages the weights are the starting ones.
+are kept; columns of other names are not read. Without labelled pages, so also of an empty
+table, the weights are the starting ones; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,9 +45,6 @@ from coppice.llm.common import slices, text_or_empty
 
 #: At most so many labelled pages are read for the weights, those with the smallest crc32 of the id.
 SAMPLE_PAGES = 4_000
-#: At most so many places and tags get a weight of their own, the most frequent ones.
-KEPT_WEIGHTS = 20_000
-
 # Kinds of HTML elements.
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp", "noembed", "noframes")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,13 +61,25 @@ BOILERPLATE = frozenset(
     "svg canvas object embed textarea label".split()
 )
 ARTICLE = ("article", "main")
-#: Class names, ids and roles of elements that seldom hold article text.
-BOILERPLATE_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent "
-    "disclaimer disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notification pagination "
-    "popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social "
-    "sponsor sponsored subscribe subscription tags toolbar topbar widget complementary contentinfo".split()
+# Class names, ids and roles of elements that seldom hold article text.
+#: Adverts, notices, comments and the like: left out where the page has other text to speak of.
+NEVER_TEXT_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments cookie cookies consent "
+    "disqus gdpr newsletter notice notification pagination popup promo promoted promotion replies reply respond "
+    "sidebar signup sponsor sponsored subscribe subscription".split()
+)
+#: Names that wrappers of whole pages bear as well.
+SELDOM_TEXT_NAMES = frozenset(
+    "banner disclaimer footer header masthead menu modal nav navbar navigation recommended related search share sharing "
+    "skip social tags toolbar topbar widget complementary contentinfo".split()
+)
+#: What follows such a name in a longer one of the same meaning.
+NAME_ENDINGS = frozenset(
+    "area bar block box bottom container footer form inner item items left link links list message module outer panel right "
+    "section slot thread top unit wrap wrapper".split()
 )
+#: Names of elements that hold the text.
+TEXT_NAMES = frozenset("article content entry main post story text".split())
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<rest>[^<>\"']*+(?:(?:\"[^\"]*\"|'[^']*')[^<>\"']*+)*+)(?:>|\Z|(?=<))|<[!?/][^>]*(?:>|\Z)",
@@ -70,15 +88,19 @@ TAG = re.compile(
 NAMES = re.compile(r"(?i)(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 HIDDEN = re.compile(r"(?i)(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)")
 WORD_IN_NAME = re.compile(r"[A-Za-z]+")
+NAME_PARTS = re.compile(r"[^A-Za-z]+")
 
 #: Elements that are never without article text.
 NEVER_DROPPED = frozenset(("html", "body", *ARTICLE))
-ARTICLE_STARTS = re.compile(rf"(?i)<(?:{'|'.join(ARTICLE)})[\s>]")
+#: Of these not even the tags cost anything.
+FREE = frozenset(RAW)
 
-#: Marks the kinds of tags that stand in an element without article text.
-DROPPED = " in boilerplate"
-#: Marks the kinds that stand in an element with a boilerplate name; a word there starts with so much.
-NAMED, NAMED_WORD = " under a name", 0.1
+#: Marks the kinds of words that stand in an element with a boilerplate name.
+NAMED = " under a name"
+#: Other words that make it safe to leave out an element with a name of ``NEVER_TEXT_NAMES``.
+OTHER_WORDS = 25
+#: A named article is taken for the page's text if it has so many words or this share of them.
+ARTICLE_WORDS, ARTICLE_SHARE = 50, 0.25
 
 
 @dataclass
@@ -88,44 +110,98 @@ class Piece:
     kind: str  # what the weight depends on
     text: str = ""
     name: str = ""
-    kept: bool = True  # its words are article text if inside the run
-    inside: bool = False  # inside the article named by the markup
     words: int = 0
+    dropped_since: int = -1  # the piece that opens the innermost element without text around it
+    region: int = -1  # the innermost element with a boilerplate name around it
+
+
+@dataclass
+class Region:
+    """An element with a boilerplate name."""
+
+    kind: str
+    start: int  # the piece that opens it
+    around: int  # the next region around it
+    never_text: bool
+    own: int = 0  # words in it and in no region within
+    words: int = 0
+
+
+@dataclass
+class Article:
+    name: str
+    start: int  # the piece that opens it
+    end: int  # the piece that closes it
+    region: int  # the region that it opens or stands in
+
+
+@dataclass
+class Page:
+    pieces: list[Piece]
+    regions: list[Region]
+    articles: list[Article]
 
 
 @dataclass
 class _Open:
     name: str
     kind: str
-    dropped: bool
-    named: bool
+    block: str  # kind of the nearest block
+    dropped_since: int
+    region: int
     link: bool
-    article: bool
+    article: Article | None = None
+
+
+def boilerplate_name(name: str) -> frozenset[str] | None:
+    """Which of the two lists a class name, id or role belongs to, if any.
 
+    Longer names count if they begin with a listed one and only endings of the same meaning follow: "comment-list"
+    does, "comments-open" and "has-sidebar" don't.
+    """
+    first, *rest = NAME_PARTS.split(name.strip("-_"))
+    names = NEVER_TEXT_NAMES if first in NEVER_TEXT_NAMES else SELDOM_TEXT_NAMES if first in SELDOM_TEXT_NAMES else None
+    if names and all(not part or part in NAME_ENDINGS or part in NEVER_TEXT_NAMES or part in SELDOM_TEXT_NAMES for part in rest):
+        return NEVER_TEXT_NAMES if not NEVER_TEXT_NAMES.isdisjoint(rest) else names
+    return None
 
-def _attributes(rest: str) -> tuple[str, bool, bool]:
-    """Class names, ids and roles in order, whether one of them is a boilerplate name, and whether the element is hidden."""
-    found = [(a or b or c).lower() for a, b, c in NAMES.findall(rest)] if "=" in rest else []
+
+def _attributes(rest: str) -> tuple[str, frozenset[str] | None, bool]:
+    """Words of class names, ids and roles in order, the list that one of them belongs to, and whether the element is hidden."""
+    if "=" not in rest:
+        return "", None, bool(HIDDEN.search(rest))
+    found = [(a or b or c).lower() for a, b, c in NAMES.findall(rest)]
     words = {w for name in found for w in WORD_IN_NAME.findall(name)}
-    named = any(not BOILERPLATE_NAMES.isdisjoint(name.split()) for name in found)
-    return ".".join(sorted(words)), named, bool(HIDDEN.search(rest))
+    tokens = [token for name in found for token in name.split()]
+    listed = {boilerplate_name(token) for token in tokens} - {None}
+    if not TEXT_NAMES.isdisjoint(tokens):
+        listed.clear()
+    return ".".join(sorted(words)), max(listed, key=lambda names: names is NEVER_TEXT_NAMES, default=None), bool(HIDDEN.search(rest))
 
 
-def pieces(page: str) -> list[Piece]:
-    """Tags and stretches of text in order."""
+def parse(page: str) -> Page:
+    """Tags and stretches of text in order, with the elements around them that matter."""
     out: list[Piece] = []
-    stack = [_Open("", "", False, False, False, False)]
-    only_article = len(ARTICLE_STARTS.findall(page)) == 1
+    regions: list[Region] = []
+    articles: list[Article] = []
+    stack = [_Open("", "", "", -1, -1, False)]
+    places: dict[str, list[int]] = {}  # where on the stack elements of a name stand
     at = 0
 
     def text(start: int, end: int) -> None:
         if start < end:
             top = stack[-1]
-            block = next((o for o in reversed(stack) if o.name not in INLINE), stack[0])
             raw = page[start:end]
             words = 0 if raw.isspace() else raw.strip().count(" ") + 1
             decoded = html.unescape(raw) if "&" in raw else raw
-            out.append(Piece(f"word {block.kind}{' link' * top.link}{NAMED * top.named}", decoded, "", not top.dropped, top.article, words))
+            out.append(Piece(f"word {top.block}{' link' * top.link}{NAMED * (top.region >= 0)}", decoded, "", words, top.dropped_since, top.region))
+
+    def close_to(depth: int) -> None:
+        while len(stack) > depth:
+            gone = stack.pop()
+            places[gone.name].pop()
+            if gone.article:
+                gone.article.end = len(out)
 
     sign = page.find("<")
     while sign >= 0:
@@ -140,40 +216,54 @@ def pieces(page: str) -> list[Piece]:
         if not name:
             continue
         if m["close"]:
-            places = [k for k, o in enumerate(stack) if o.name == name]
-            kind = f"tag /{stack[places[-1]].kind}" if places else f"tag /{name}"
-            around = stack[places[-1] - 1 if places else -1]
-            kind += NAMED * around.named + DROPPED * around.dropped
-            inside = stack[-1].article and name not in ARTICLE
-            if places:
-                inside = stack[places[-1] - 1].article if name in ARTICLE else inside
-                del stack[places[-1] :]
-            out.append(Piece(kind, "", name, True, inside))
+            there = places.get(name)
+            closed = stack[there[-1]] if there else None
+            if closed:
+                close_to(there[-1])
+            inner, top = closed or stack[-1], stack[-1]
+            out.append(Piece(f"tag /{closed.kind if closed else name}", "", name, 0, inner.dropped_since, inner.region))
             continue
         if name in PARAGRAPH_ENDS:
-            places = [k for k, o in enumerate(stack) if o.name == "p"]
-            if places:
-                del stack[places[-1] :]
+            if places.get("p"):
+                close_to(places["p"][-1])
         elif name in ("li", "tr", "td", "th", "dt", "dd", "option") and stack[-1].name == name:
-            stack.pop()
-        names, named, hidden = _attributes(m["rest"]) if m["rest"] else ("", False, False)
+            close_to(len(stack) - 1)
+        names, listed, hidden = _attributes(m["rest"]) if m["rest"] else ("", None, False)
         top = stack[-1]
         kind = f"{name}.{names}" if names else name
-        article = top.article or name in ARTICLE
-        out.append(Piece(f"tag {kind}{NAMED * top.named}{DROPPED * top.dropped}", "", name, True, top.article))
+        here = len(out)
+        dropped, region = top.dropped_since, top.region
+        if name not in VOID:
+            if name not in NEVER_DROPPED and (hidden or name in BOILERPLATE):
+                dropped = here
+            if listed and (name == "article" or name not in NEVER_DROPPED):
+                regions.append(Region(kind, here, region, listed is NEVER_TEXT_NAMES))
+                region = len(regions) - 1
+        out.append(Piece(f"tag {kind}", "", name, 0, dropped, region))
         if name in VOID or m["rest"].endswith("/") and name not in RAW:
             continue
-        if name in NEVER_DROPPED:
-            dropped, named = top.dropped and not (only_article and name in ARTICLE), False
-        else:
-            dropped, named = top.dropped or hidden or name in BOILERPLATE, top.named or named
-        stack.append(_Open(name, kind, dropped, named, top.link or name == "a", article))
+        opened = _Open(name, kind, top.block if name in INLINE else kind, dropped, region, top.link or name == "a")
+        if name in ARTICLE:
+            opened.article = Article(name, here, -1, region)
+            articles.append(opened.article)
+        places.setdefault(name, []).append(len(stack))
+        stack.append(opened)
         if name in RAW:
             ended = re.compile(rf"(?i)</{name}(?=[\s/>])|\Z").search(page, at)
             at = ended.start()
             sign = page.find("<", at)
     text(at, len(page))
-    return out
+    close_to(1)
+    return Page(out, regions, articles)
+
+
+def named_article(page: Page) -> Article | None:
+    """The article that the markup names: the only one, the only one outside elements with boilerplate names, or the only ``<main>``."""
+    articles = [a for a in page.articles if a.name == "article"]
+    for found in (articles, [a for a in articles if a.region < 0], [a for a in page.articles if a.name == "main"]):
+        if len(found) == 1:
+            return found[0]
+    return None
 
 
 @dataclass(frozen=True)
@@ -182,25 +272,62 @@ class Weights:
 
     learnt: dict[str, float] = field(default_factory=dict)
 
-    def of(self, piece: Piece) -> float:
+    def word(self, piece: Piece) -> float:
+        known = self.learnt.get(piece.kind)
+        if known is None:
+            known = 0.5 if " link" in piece.kind else 1.0
+        return piece.words * known
+
+    def tag(self, piece: Piece) -> float:
         known = self.learnt.get(piece.kind)
-        if not piece.name:
-            if not piece.kept:
-                return -0.1 * piece.words
-            starting = NAMED_WORD if piece.kind.endswith(NAMED) else 1.0
-            return piece.words * (starting if known is None else known)
-        if piece.kind.endswith(DROPPED):
-            return -0.1  # what it holds is left out anyhow
         if known is not None:
             return known
         name = piece.name
+        if name in FREE:
+            return 0.0
         if name in INLINE or name in ("br", "img", "wbr"):
-            return -0.2
-        if name in ("p", "li", "ul", "ol", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "figure", "figcaption", "table", "tr", "td", "th", "hr"):
-            return -1.0
+            return -0.1
+        if name in ("p", "li", "ul", "ol", "dl", "dt", "dd", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "figure", "figcaption", "table", "tbody", "tr", "td", "th", "hr"):
+            return -0.25 if piece.kind.startswith("tag /") else -0.5
         if name in BOILERPLATE:
-            return -2.0
-        return -12.0 if name in (*ARTICLE, "body", "html") else -5.0
+            return -1.0
+        return -6.0 if name in (*ARTICLE, "body", "html") else -2.5
+
+
+def without_text(page: Page, weights: Weights, start: int, end: int) -> tuple[list[bool], list[bool]]:
+    """Of the pieces from ``start`` to ``end``, whether each is left out, and which regions are.
+
+    Only elements that are opened there count, so wrappers of an article don't.
+    """
+    regions = page.regions
+    for region in regions:
+        region.own = region.words = 0
+    clean = 0
+    for piece in page.pieces[max(start, 0) : end]:
+        if piece.words and piece.dropped_since <= start:
+            if piece.region >= 0 and regions[piece.region].start > start:
+                regions[piece.region].own += piece.words
+            else:
+                clean += piece.words
+    for region in reversed(regions):  # inner ones come after those around them
+        region.words += region.own
+        if region.around >= 0:
+            regions[region.around].words += region.words
+    out = [False] * len(regions)
+    others = [clean] * len(regions)  # words that stand beside or around a region and stay
+    for k, region in enumerate(regions):
+        if not start < region.start < end:
+            continue
+        around = region.around if region.around >= 0 and regions[region.around].start > start else -1
+        if around >= 0:
+            others[k] = others[around] + regions[around].own
+            out[k] = out[around]
+        if region.never_text:
+            out[k] |= others[k] >= OTHER_WORDS or 2 * others[k] >= region.words
+        else:
+            out[k] |= others[k] >= region.words and weights.learnt.get(f"name {region.kind}", 0.0) <= 0
+    left = [p.dropped_since > start or (p.region >= 0 and out[p.region]) for p in page.pieces[max(start, 0) : end]]
+    return left, out
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -216,16 +343,40 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return found
 
 
-def extract(page: str, weights: Weights) -> str:
+def extract(text: str, weights: Weights) -> str:
     """The main text of a page."""
-    listed = pieces(page)
-    start, end = best_run([weights.of(piece) for piece in listed])
+    page = parse(text)
+    listed = page.pieces
+    article = named_article(page)
+    left, _ = without_text(page, weights, -1, len(listed))
+    if article:
+        inner, _ = without_text(page, weights, article.start, article.end)
+        inside = sum(p.words for p, out in zip(listed[article.start : article.end], inner) if not out)
+        whole = sum(p.words for p, out in zip(listed, left) if not out)
+        if inside and (inside >= ARTICLE_WORDS or inside >= ARTICLE_SHARE * whole):
+            left[article.start : article.end] = inner
+        else:
+            article = None
+    scores = []
+    for k, piece in enumerate(listed):
+        if article and article.start <= k < article.end:
+            score = 0.0 if piece.name or left[k] else piece.words * max(0.01, weights.word(piece) / max(1, piece.words))
+        elif left[k]:
+            # The tags at the limits of what is left out cost something, what is in it nothing.
+            limit = piece.name and piece.name not in FREE and not (k and left[k - 1] and k + 1 < len(left) and left[k + 1])
+            score = -1.0 if limit else 0.0
+        elif piece.name:
+            score = weights.tag(piece)
+        else:
+            score = -float(piece.words) if article else weights.word(piece)
+        scores.append(score)
+    start, end = best_run(scores)
     out = []
-    for piece in listed[start:end]:
+    for piece, gone in zip(listed[start:end], left[start:end]):
         if piece.name:
             if piece.name not in INLINE:
                 out.append(" ")
-        elif piece.kept:
+        elif not gone:
             out.append(piece.text)
     return " ".join("".join(out).split())
 
@@ -234,30 +385,39 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often each kind stands inside and outside the article of labelled pages."""
     counts: dict[str, list[int]] = {}
     for batch in batches:
-        for page in batch["html"].to_pylist():
-            for piece in pieces(page):
-                if piece.kept and not piece.kind.endswith(DROPPED):
-                    seen = counts.setdefault(piece.kind, [0, 0])
-                    seen[piece.inside] += 1 if piece.name else piece.words
+        for text in batch["html"].to_pylist():
+            page = parse(text)
+            article = named_article(page)
+            if not article:
+                continue
+            for k, piece in enumerate(page.pieces):
+                if piece.dropped_since >= 0:
+                    continue
+                inside = article.start < k < article.end
+                counts.setdefault(piece.kind, [0, 0])[inside] += 1 if piece.name else piece.words
+                if piece.words and piece.region >= 0:
+                    counts.setdefault(f"name {page.regions[piece.region].kind}", [0, 0])[inside] += piece.words
     columns = [list(counts), [c[1] for c in counts.values()], [c[0] for c in counts.values()]]
     arrays = [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64()))]
     yield pa.RecordBatch.from_arrays(arrays, ["kind", "inside", "outside"])
 
 
-def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES, kept: int = KEPT_WEIGHTS) -> Weights:
-    """Weights from pages with one ``<article>`` or one ``<main>``; counts are summed per task first."""
+def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Weights:
+    """Weights from pages with one ``<article>``, or else one ``<main>``; counts are summed per task first.
+
+    The sample bounds what reaches the driver: one row for each kind of its words and tags.
+    """
     page = text_or_empty(html_col)
-    named = [F.regexp_count(page, F.lit(f"(?i)<{name}[\\s>]")) for name in ARTICLE]
-    rows = pages.select(F.col(id_col).alias("id"), page.alias("html"), (named[0] + named[1]).alias("n"))
-    labelled = rows.where("n = 1").orderBy(F.crc32(F.col("id").cast("string").cast("binary")), "id").select("id").limit(sample_pages)
-    sample = rows.join(F.broadcast(labelled.distinct()), "id").where("n = 1").select("html")
+    article, main = (F.regexp_count(page, F.lit(f"(?i)<{name}[\\s>]")) for name in ARTICLE)
+    rows = pages.select(F.col(id_col).alias("id"), page.alias("html"), ((article == 1) | (article == 0) & (main == 1)).alias("one"))
+    labelled = rows.where("one").orderBy(F.crc32(F.col("id").cast("string").cast("binary")), "id").select("id").limit(sample_pages)
+    sample = rows.join(F.broadcast(labelled.distinct()), "id").where("one").select("html")
     counts = sample.mapInArrow(_count, "kind string, inside long, outside long")
     counts = counts.groupBy("kind").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-    most = counts.orderBy(F.desc(F.col("inside") + F.col("outside")), "kind").limit(kept).collect()
     learnt = {}
-    for row in most:
+    for row in counts.collect():
         odds = math.log((row["inside"] + 0.5) / (row["outside"] + 0.5))
-        if row["kind"].startswith("word"):
+        if row["kind"].startswith(("word", "name")):
             # Words score by how surely their place is article text: 1 at best, negative elsewhere.
             learnt[row["kind"]] = max(-1.0, min(1.0, odds))
         else:

@@ -2,11 +2,13 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from coppice.llm import decontaminate, html_extract, licenses, pii, sentencepiece_bpe, toxicity
 from coppice.llm import queries as Q
@@ -377,3 +379,56 @@ def test_page_edges(spark):
     )
     assert html_extract.best_run([-1, 2, -1, 2, -5, 3]) == (1, 4)
     assert html_extract.best_run([-1.0]) == (0, 0)
+
+
+def numbered(n, name="word"):
+    return " ".join(f"{name}{k}" for k in range(n))
+
+
+A, B, ITEMS = numbered(60, "a"), numbered(60, "b"), [f"item{k}" for k in range(30)]
+COMMENTS = "".join(f"<li><p>{numbered(90, 'c')}</p></li>" for _ in range(20))
+MADE_PAGES = [
+    (f"<article><p>{A}</p><div class='ad'>{numbered(12)}</div><p>{B}</p></article>", f"{A} {B}"),
+    (f"<article><p>{A}</p><div class='notice'>{numbered(12)}</div><p>{B}</p></article>", f"{A} {B}"),
+    (f"<body><div class='cookie-notice'>{numbered(30)}</div><article><p>{A}</p></article></body>", A),
+    (f"<body><div>{A} {B}</div><ol class='comment-list'>{COMMENTS}</ol></body>", f"{A} {B}"),
+    (f"<body><div class='sidebar'>{numbered(120)}</div><article><p>{A}</p></article></body>", A),
+    (f"<body><div><p>{A}</p><p>{B}</p></div><div class='sidebar'><p>{numbered(110)}</p></div></body>", f"{A} {B}"),
+    (f"<article><p>{A}</p><script>x</script><p>one two</p></article>", f"{A} one two"),
+    (f"<body><p>{A}</p><aside>{numbered(30)}</aside><p>one two three four</p></body>", f"{A} one two three four"),
+    (f"<article><p>{A}</p><aside>{numbered(30)}</aside><p>one</p></article>", f"{A} one"),
+    (f"<article><h1>A title</h1><ul>{''.join(f'<li>{i}</li>' for i in ITEMS)}</ul></article>", " ".join(["A title", *ITEMS])),
+    (f"<body><main><nav>menu x</nav><article><p>{A}</p></article><aside>x y</aside></main></body>", A),
+    (f"<main><article><p>{A}</p></article><section id='comments'><article class='comment'>{B}</article><article class='comment'>{B}</article></section></main>", A),
+    (f"<body><div class='widget'><p>{A}</p><div class='ad'>buy this now</div></div></body>", A),
+]
+
+
+@pytest.mark.parametrize("page, text", MADE_PAGES)
+def test_made_pages(page, text):
+    assert html_extract.extract(page, html_extract.Weights()) == text
+
+
+def test_made_pages_with_learnt_weights(spark, tables):
+    """Weights of the given pages; extra columns of other names don't matter."""
+    rows = [(k, page) for k, (page, _) in enumerate(MADE_PAGES)]
+    pages = spark.createDataFrame(rows, "page_id long, html string").withColumns({c: F.lit("x") for c in ("text", "n", "kind", "one", "id")})
+    weights = html_extract.fit(tables("pages").withColumns({c: F.lit("x") for c in ("text", "n", "kind", "one", "id")}))
+    got = {r["page_id"]: r["text"] for r in html_extract.main_texts(pages, weights).collect()}
+    assert got == {k: text for k, (_, text) in enumerate(MADE_PAGES)}
+    none = pages.limit(0)
+    assert html_extract.main_texts(none, html_extract.fit(none)).collect() == []
+
+
+def seconds_of(work, *arguments):
+    start = time.process_time()
+    work(*arguments)
+    return time.process_time() - start
+
+
+@pytest.mark.parametrize("unit", ["<div>x ", "<p class='ad'>x<span>y ", "</b><i>x "])
+def test_pages_of_many_open_tags_take_linear_time(unit):
+    weights = html_extract.Weights()
+    once = min(seconds_of(html_extract.extract, unit * 25_000, weights) for _ in range(3))
+    twice = min(seconds_of(html_extract.extract, unit * 50_000, weights) for _ in range(3))
+    assert twice < 3 * once
