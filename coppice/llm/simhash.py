@@ -7,8 +7,8 @@ choice of that many blocks makes one set of shards, and each link lies inside a
 of at least one choice. A shard becomes a BK-tree: a child hangs under its parent by
 the integer Hamming distance between them, and a search follows only edges within the
 radius of the distance at hand. A shard fixes 32 of the 64 bits; one with more than
-``SHARD_ROWS`` members is cut the same way over its free bits, which then fixes 48,
-so that at most 65,536 different fingerprints can share a shard, however large the
+``SHARD_ROWS`` members is cut the same way over its free bits, which then fixes 46 to
+49, so that at most 262,144 different fingerprints can share a shard, however large the
 corpus. Trees travel to the tasks by the shuffle, not by broadcast, because the trees
 of a corpus have no size bound.
 
@@ -260,16 +260,34 @@ def near_duplicates(
     return joined.select(F.col("id").alias(id_col), "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id names their component: one text of each group.
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    radius: int = RADIUS,
+    shard_rows: int = SHARD_ROWS,
+    store: Store | None = None,
+) -> DataFrame:
+    """One row of ``docs`` for each group of linked fingerprints: the one with the smallest id.
 
-    Of several rows with the kept id one stays. Rows without an id stay.
+    Rows are decided on one by one: an id may stand for several texts, and each text keeps
+    a copy. Of rows of one group with the smallest id the one with the smallest hash of
+    all columns stays; of equal rows one. Rows without an id stay.
     """
-    found = near_duplicates(docs, id_col, text_col, **options)
-    gone = found.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
-    kept = docs.join(gone, id_col, "left_anti").select(docs.columns)
-    ids = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count()
-    if ids.where("count > 1").isEmpty():
-        return kept
-    named = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return named.unionByName(kept.where(F.col(id_col).isNull()))
+    store = store or Store(docs.sparkSession, "simhash")
+    # Nulls add nothing to the hash, so which columns are null goes in as well.
+    row, key = F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns)), ["_keep_id", "_keep_row"]
+    keyed = docs.withColumns(dict(zip(key, (F.col(id_col), row))))
+    prints = keyed.where(F.col(key[0]).isNotNull()).select(*key, fingerprint_column(text_col, shingle).alias("fp"))
+    prints = store.keep(prints, "prints")
+    prints = prints.groupBy("fp", *key).agg(F.count(F.lit(1)).alias("n"))
+    groups = store.keep(prints.groupBy("fp").agg(F.min(F.struct(*key, "n")).alias("first")), "groups")
+    # Here a fingerprint is a node by itself, so texts are not linked by a common id.
+    links = near_links(groups.select("fp", F.col("fp").alias("rep")), radius, shard_rows, store)
+    comps = connected_components(links, store=store, u="a", v="b").select(F.col("id").alias("fp"), "comp")
+    named = groups.join(comps, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
+    stays = store.keep(named.groupBy("comp").agg(F.min("first").alias("first")).select("first.*"), "stays")
+    single = keyed.join(stays.where("n = 1"), key, "left_semi")
+    repeated = keyed.join(stays.where("n > 1"), key, "left_semi").dropDuplicates(key)
+    return single.unionByName(repeated).select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))

@@ -99,6 +99,40 @@ def test_dense_shards_are_cut_again(spark):
         assert {i: find(i) for i in up} == want
 
 
+def test_keep_one_of_repeated_ids(spark):
+    """An id may stand for several texts: each group of linked texts keeps one row, whatever ids it has."""
+    base = ["alpha beta gamma delta " * 30, "one two three four five six " * 20, "red green blue white " * 25, "north south east west " * 25]
+    rows = [(0, base[0], "a"), (1, base[0], "a"), (1, base[1], "a"), (2, base[2], "a"), (2, base[3], "a")]
+    rows += [(5, base[1], "a"), (5, base[1], "a"), (2, base[2], "b"), (3, base[3] + "!", None), (3, None, base[3])]
+    rows += [(None, base[0], "x"), (None, base[0], "x"), (7, "", "y"), (8, None, "z"), (7, "", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp string").repartition(4)
+    kept = [tuple(r) for r in simhash.keep_one(docs).collect()]
+    assert Counter(kept) <= Counter(rows)
+    known = [r for r in rows if r[0] is not None]
+    up = list(range(len(known)))
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    prints = [plain_print(text) for _, text, _ in known]
+    for i, a in enumerate(prints):
+        for j, b in enumerate(prints[:i]):
+            if (a ^ b).bit_count() <= simhash.RADIUS:
+                up[find(i)] = find(j)
+    groups = {}
+    for i, row in enumerate(known):
+        groups.setdefault(find(i), []).append(row)
+    for group in groups.values():
+        stays = [row for row in kept if row in group]
+        assert len(stays) == 1 and stays[0][0] == min(row[0] for row in group)
+    assert len(kept) == len(groups) + 2
+    again = [tuple(r) for r in simhash.keep_one(docs.repartition(7, "text")).collect()]
+    assert Counter(again) == Counter(kept)
+    assert simhash.keep_one(docs.limit(0)).collect() == []
+
+
 def test_keep_one(frame):
     docs = frame(EDGES)
     kept = simhash.keep_one(docs)
