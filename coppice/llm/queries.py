@@ -93,7 +93,9 @@ def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, folder, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    # Cuts are made between bytes; what is left of a cut character reads as a replacement mark.
+    left = F.make_valid_utf8(F.col("kept").cast("string"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", left.alias("text"))
 
 
 def op9_idstore(spark: SparkSession, folder: str) -> DataFrame:

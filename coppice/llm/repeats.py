@@ -117,7 +117,11 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def suffix_order(keys: np.ndarray) -> np.ndarray:
-    """Suffixes in order; ``keys[i]`` are the eight bytes from i on. Prefixes double until all differ."""
+    """Suffixes in order; ``keys[i]`` are the eight bytes from i on.
+
+    Ranks of three prefixes in a row make the rank of one of three times the length
+    (of two, where three don't fit into 64 bits), until all differ.
+    """
     n = len(keys)
     order = np.argsort(keys)
     place = np.arange(n)
@@ -128,16 +132,20 @@ def suffix_order(keys: np.ndarray) -> np.ndarray:
     rank[order] = np.maximum.accumulate(np.where(head, place, 0))
     open_ = place[~(head & np.append(head[1:], True))]
     reach = 8
+    bits = int(n).bit_length()
+    joined = 3 if 3 * bits <= 63 else 2
     while len(open_):
         here = order[open_]
-        pair = (rank[here] << 32) | (rank[np.minimum(here + reach, n)] + 1)
-        by = np.argsort(pair)
-        pair, here = pair[by], here[by]
+        name = rank[here]
+        for k in range(1, joined):
+            name = (name << bits) | (rank[np.minimum(here + k * reach, n)] + 1)
+        by = np.argsort(name)
+        name, here = name[by], here[by]
         order[open_] = here
-        head = np.concatenate([[True], pair[1:] != pair[:-1]])
+        head = np.concatenate([[True], name[1:] != name[:-1]])
         rank[here] = open_[np.maximum.accumulate(np.where(head, np.arange(len(here)), 0))]
         open_ = open_[~(head & np.append(head[1:], True))]
-        reach *= 2
+        reach *= joined
     return order
 
 
@@ -192,7 +200,9 @@ class RunLengthIndex:
         place = np.arange(self.size)
         best = np.zeros(self.size, np.int64)
         for position, match in (self.above, self.below):
-            last = np.searchsorted(position, place, "right") - 1
+            starts = np.zeros(self.size, np.int64)
+            starts[position] = 1
+            last = np.cumsum(starts) - 1
             best = np.maximum(best, match[last] - (place - position[last]))
         return best
 
