@@ -9,11 +9,15 @@ part is checked against the library, one call per Arrow batch.
 
 Edge cases: a null or empty text has no ids and decodes to an empty text; a mark that
 stands in the text itself is a space, as in the library. Ties, repeated rows and very
-long texts need nothing special: a row depends on its text alone.
+long texts need nothing special: a row depends on its text alone. A unit that differs from
+the library ends the job with an error that names it. An empty table gives no rows, and
+columns of other names are not read.
 """
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from operator import add
 
@@ -22,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coppice.llm.common import per_worker, sha256_text, text_or_empty
+from coppice.llm.common import per_worker, sha256_text, slices, text_or_empty
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
-#: Units and parts that a worker keeps in one generation, some 300 bytes each.
-KEPT_UNITS, KEPT_PARTS = 100_000, 200_000
+#: Units and parts that a worker keeps in one generation, some 250 bytes each.
+KEPT_UNITS, KEPT_PARTS = 200_000, 200_000
+#: Characters whose units are learnt at a time.
+SLICE = 1 << 22
 #: Characters up to which a part's agenda is a list.
 SHORT = 48
 NEVER = float("inf")
@@ -121,84 +127,97 @@ class Pieces:
         return raw.decode("utf-8", "replace").replace(MARK, " ")
 
 
-class Kept(dict):
+class Kept:
     """A bounded memory of two generations: when the younger one is full it becomes the
     older one, from which entries in use move over again, so that rare ones are forgotten."""
 
     def __init__(self, most: int):
         self.most = most
-        self.older: dict[str, tuple[str, str]] = {}
+        self.young: dict[str, str] = {}
+        self.old: dict[str, str] = {}
 
-    def __missing__(self, name: str) -> tuple[str, str]:
-        known = self.older.get(name)
-        if known is None:
-            known = self.find(name)
-        self[name] = known
-        return known
+    def missing(self, names: set[str]) -> set[str]:
+        """Those that neither generation has; the older one's entries move over."""
+        lacking = names.difference(self.young)
+        moved = [name for name in lacking if name in self.old]
+        self.young.update(zip(moved, map(self.old.__getitem__, moved)))
+        lacking.difference_update(moved)
+        return lacking
 
     def settle(self) -> None:
-        if len(self) > self.most:
-            self.older = dict(self)
-            self.clear()
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
 
+    def __contains__(self, name: str) -> bool:
+        return name in self.young or name in self.old
 
-class Parts(Kept):
-    """Part -> (ids as text, decoded text)."""
-
-    def __init__(self, pieces: Pieces):
-        super().__init__(KEPT_PARTS)
-        self.pieces = pieces
-        self.found = 0
-
-    def find(self, part: str) -> tuple[str, str]:
-        self.found += 1
-        ids = self.pieces.encode_part(part)
-        return ",".join(map(str, ids)), self.pieces.decode(ids)
 
+class Units:
+    """Ids and decoded texts by units, the stretches between spaces.
 
-class Units(Kept):
-    """Unit -> (ids as text, decoded text without the space of its mark)."""
+    Kept are the ids of units and of their parts as text, and the decoded texts of the
+    units that decode to something else than themselves.
+    """
 
     def __init__(self, pieces: Pieces):
-        super().__init__(KEPT_UNITS)
         self.pieces = pieces
-        self.parts = Parts(pieces)
-        self.new: list[str] = []
-
-    def find(self, unit: str) -> tuple[str, str]:
-        before = self.parts.found
-        ids, decoded = zip(*[self.parts[part] for part in self.pieces.parts(MARK + unit)])
-        if self.parts.found > before:
-            self.new.append(unit)  # it has a part that no checked unit has
-        decoded = "".join(decoded)[1:]
-        return ",".join(ids), unit if decoded == unit else decoded
+        self.ids, self.parts = Kept(KEPT_UNITS), Kept(KEPT_PARTS)
+        self.odd: dict[str, str] = {}
+        self.odd_parts: dict[str, str] = {}
 
     def encode(self, text: str) -> tuple[str, str]:
         """(decimal ids joined by commas, decoded text)."""
-        if not text:
-            return "", ""
-        if MARK in text:
-            text = text.replace(MARK, " ")
-        units = text.split(" ")
-        if "" in units:
-            units = _with_runs(units)
-        ids, decoded = zip(*[self[unit] for unit in units])
-        return ",".join(ids), " ".join(decoded)
-
-    def check(self) -> None:
-        """Compares the new units with the library, in one call."""
-        new = [unit for unit in self.new if unit]  # the library takes no lone mark as its input
-        self.new = []
-        for unit, ids in zip(new, self.pieces.library.encode(new, num_threads=1) if new else []):
-            if self[unit][0] != ",".join(map(str, ids)):
-                raise ValueError(f"unit {unit!r} differs from the library: {self[unit][0]} and {ids}")
-
-    def end_batch(self, check: bool) -> None:
-        if check:
-            self.check()
-        self.new = []
-        self.settle()
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str], check: bool = True) -> Iterator[tuple[str, str]]:
+        """The same for every text; new units are learnt slice by slice."""
+        for start, end in slices(texts, SLICE):
+            yield from self._encode_slice([text.replace(MARK, " ") for text in texts[start:end]], check)
+
+    def _encode_slice(self, texts: list[str], check: bool) -> list[tuple[str, str]]:
+        split = [text.split(" ") for text in texts]
+        split = [_with_runs(units) if "" in units else units for units in split]
+        gc.disable()  # nothing that is made here is in a cycle
+        try:
+            self._learn(self.ids.missing(set().union(*split)), check)
+            found, odd = self.ids.young.__getitem__, self.odd
+            out = []
+            for text, units in zip(texts, split):
+                decoded = text if odd.keys().isdisjoint(units) else " ".join([odd.get(unit, unit) for unit in units])
+                out.append((",".join(map(found, units)), decoded) if text else ("", ""))
+        finally:
+            gc.enable()
+        self.ids.settle()
         self.parts.settle()
+        self.odd = {unit: decoded for unit, decoded in odd.items() if unit in self.ids}
+        self.odd_parts = {part: decoded for part, decoded in self.odd_parts.items() if part in self.parts}
+        return out
+
+    def _learn(self, units: set[str], check: bool) -> None:
+        """Ids of units that are not known yet; those with a new part are compared with the library, in one call."""
+        listed = list(units)
+        cut = [self.pieces.parts(MARK + unit) for unit in listed]
+        new = self.parts.missing(set().union(*cut))
+        for part in new:
+            ids = self.pieces.encode_part(part)
+            decoded = self.pieces.decode(ids)
+            self.parts.young[part] = ",".join(map(str, ids))
+            if decoded != part.replace(MARK, " "):
+                self.odd_parts[part] = decoded
+        found = self.parts.young.__getitem__
+        self.ids.young.update(zip(listed, [",".join(map(found, parts)) for parts in cut]))
+        for unit, parts in zip(listed, cut):
+            if MARK in unit or self.odd_parts and not self.odd_parts.keys().isdisjoint(parts):
+                self.odd[unit] = "".join([self.odd_parts.get(part, part) for part in parts]).replace(MARK, " ")[1:]
+        if check:
+            # The library takes no lone mark as its input.
+            self._check([unit for unit, parts in zip(listed, cut) if unit and not new.isdisjoint(parts)])
+
+    def _check(self, units: list[str]) -> None:
+        known = self.ids.young
+        for unit, ids in zip(units, self.pieces.library.encode(units, num_threads=1) if units else []):
+            if known[unit] != ",".join(map(str, ids)):
+                raise ValueError(f"unit {unit!r} differs from the library: {known[unit]} and {ids}")
 
 
 def _with_runs(words: list[str]) -> list[str]:
@@ -238,14 +257,12 @@ def _encoder(model_file: str | None, check: bool, with_ids: bool):
     def encode(texts: pa.Array) -> pa.Array:
         units = _units(model_file)
         counts, digests, decoded_digests, raw = [], [], [], []
-        for text in texts:
-            ids, decoded = units.encode(text.as_py())
+        for ids, decoded in units.encode_all(texts.to_pylist(), check):
             counts.append(ids.count(",") + 1 if ids else 0)
             digests.append(sha256_text(ids))
             decoded_digests.append(sha256_text(decoded))
             if with_ids:
                 raw.append(np.fromstring(ids, dtype=np.int32, sep=",") if ids else np.zeros(0, np.int32))
-        units.end_batch(check)
         arrays = [pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded_digests, pa.string())]
         if with_ids:
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
