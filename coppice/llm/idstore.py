@@ -24,25 +24,34 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from coppice.llm.common import per_worker, slices, text_or_empty
+from coppice.llm.common import per_worker, text_or_empty
+from coppice.operators.rank import running_total
+from coppice.store import Store
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 DOCS_PER_SHARD = 4_096
-KEPT_UNITS = 300_000
-#: Characters encoded at a time; their words take some 40 MB.
+#: Documents of one task, where the session's partitions don't make it fewer; a shard's number is its task's with the place behind.
+DOCS_PER_TASK = 1 << 16
+SHARD_BITS = 32
+#: Shards read by one task, where the session's partitions don't make it fewer.
+SHARDS_PER_TASK = 64
+#: Units that a worker keeps in one generation, some 220 bytes each; two generations of two workers take about half a GB.
+KEPT_UNITS = 600_000
+#: Bytes of text encoded at a time.
 SLICE = 1 << 22
 #: Mean keys of a bucket of the hash; larger ones make the table of seeds smaller and slower to find.
 BUCKET = 4
 MASK = 2**64 - 1
-MANIFEST = "shard int, ids_file string, index_file string, n_docs long, n_ids long, width int, first_key long, last_key long"
+MANIFEST = "shard long, ids_file string, index_file string, n_docs long, n_ids long, width int, first_key long, last_key long"
 INDEX = np.dtype([("key", "<i8"), ("has_key", "u1"), ("offset", "<u8"), ("length", "<u4")])
 SLOT = np.dtype([("fingerprint", "<u4"), ("number", "<u4")])
 
@@ -94,56 +103,76 @@ class Encoder:
             out += [raw[start:end] for start, end in zip(starts, [*ends, len(raw)])]
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Raw ids of each text."""
-        out = []
-        gc.disable()  # only strings and bytes are made here, none of them in cycles
-        try:
-            for start, end in slices(texts, SLICE):
-                out += self._encode_slice(texts[start:end])
-        finally:
-            gc.enable()
-        return out
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Raw ids of each text, slice by slice."""
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+        number = np.cumsum(sizes) // SLICE  # a longer text ends a slice
+        ends = [*(np.flatnonzero(np.diff(number)) + 1).tolist(), len(texts)] if len(texts) else []
+        for start, end in zip([0, *ends], ends):
+            gc.disable()  # only strings and bytes are made here, none of them in cycles
+            try:
+                coded = self._encode_slice(texts[start:end])
+            finally:
+                gc.enable()
+            yield from coded
 
-    def _encode_slice(self, texts: list[str]) -> list[bytes]:
+    def _encode_slice(self, texts: pa.Array) -> list[bytes]:
         for before, known in self.known.items():
             if len(known) > KEPT_UNITS:
                 # Units in use move over from the older generation; rare ones are forgotten.
                 self.older[before], self.known[before] = known, {}
-        whole = [any(mark in text for mark in self.added) for text in texts]
-        split = [[""] if alone else text.split(" ") for text, alone in zip(texts, whole)]
-        first = [units.pop(0) for units in split]
-        self._learn("", set(first))
-        self._learn(" ", set().union(*split))
-        heads, tails = self.known[""], self.known[" "].__getitem__
-        out = []
-        for text, alone, head, units in zip(texts, whole, first, split):
-            if alone:
-                out.append(self._library([text])[0])
-                continue
-            try:
-                out.append(heads[head] + b"".join(map(tails, units)))
-            except KeyError:
-                out.append(self._library([text])[0])
+        alone = np.zeros(len(texts), bool)
+        for mark in self.added:
+            alone |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(texts, " ")
+        starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        units = lists.flatten().dictionary_encode()
+        named = units.dictionary.to_pylist()
+        place = units.indices.to_numpy(zero_copy_only=False).copy()
+        firsts = [named[k] for k in place[starts[:-1]].tolist()]
+        self._learn("", set(firsts))
+        self._learn(" ", set(named))
+        # The ids of the slice: one entry for each different unit, and one for the start of each text.
+        place[starts[:-1]] = len(named) + np.arange(len(firsts))
+        coded = [*map(self.known[" "].get, named), *map(self.known[""].get, firsts)]
+        entries = pa.array(coded, pa.binary())
+        unknown = entries.is_null().to_numpy(zero_copy_only=False)[place]
+        alone |= np.logical_or.reduceat(unknown, starts[:-1])
+        joined = entries.fill_null(b"").take(pa.array(place))
+        raw = joined.buffers()[2]
+        raw = raw.to_pybytes() if raw else b""
+        ends = np.append(0, np.cumsum(pc.binary_length(joined).to_numpy()))[starts].tolist()
+        out = [raw[a:b] for a, b in zip(ends, ends[1:])]
+        for k in np.flatnonzero(alone).tolist():
+            out[k] = self._library([texts[k].as_py()])[0]
         return out
 
     def _learn(self, before: str, units: set[str]) -> None:
         """Ids of units that can stand alone; a unit of several pieces is put together from theirs."""
-        whole, rest, cut = set(), set(), []
-        for unit in self._missing(before, units):
-            if unit.isalpha():
-                whole.add(unit)
+        missing = self._missing(before, units)
+        whole = {unit for unit in missing if unit.isalpha()}
+        firsts, rest, cut, signed = set(), set(), [], []
+        for unit in missing.difference(whole):
+            word = unit.rstrip(SIGNS)
+            if word.isalpha():  # the most frequent case of those that are cut
+                signed.append((unit, word, unit[len(word) :]))
             elif unit and not unit[0].isspace() and not unit[-1].isspace():
                 pieces = _pieces(unit)
                 cut.append((unit, pieces))
-                whole.add(pieces[0])
+                firsts.add(pieces[0])
                 rest.update(pieces[1:])
-        for place, wanted in ((before, whole), ("", rest)):
-            new = list(self._missing(place, wanted))
-            self.known[place].update(zip(new, self._together([place + piece for piece in new])))
+        firsts.update([word for _, word, _ in signed])
+        rest.update([signs for _, _, signs in signed])
+        whole |= self._missing(before, firsts)
+        self._add(before, whole)
+        self._add("", self._missing("", rest))
         known, others = self.known[before], self.known[""].__getitem__
-        for unit, pieces in cut:
-            known[unit] = known[pieces[0]] + b"".join(map(others, pieces[1:]))
+        known.update([(unit, known[word] + others(signs)) for unit, word, signs in signed])
+        known.update([(unit, b"".join([known[pieces[0]], *map(others, pieces[1:])])) for unit, pieces in cut])
+
+    def _add(self, before: str, pieces: set[str]) -> None:
+        new = list(pieces)
+        self.known[before].update(zip(new, self._together([before + piece for piece in new] if before else new)))
 
     def _missing(self, before: str, units: set[str]) -> set[str]:
         """The units that are not known, after those of the older generation have moved over."""
@@ -188,12 +217,16 @@ def _encoder(tokenizer_file: str | None) -> Encoder:
 # --- the hash ------------------------------------------------------------------
 
 
-def mixed(key: int, seed: int) -> int:
-    """A 64-bit hash of a key under a seed."""
-    x = (key & MASK) ^ (seed * 0x9E3779B97F4A7C15 & MASK)
-    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
-    x = (x ^ x >> 27) * 0x94D049BB133111EB & MASK
-    return x ^ x >> 31
+def mixed(keys: np.ndarray, seeds) -> np.ndarray:
+    """64-bit hashes of 64-bit keys under seeds, modulo 2^64 throughout."""
+    x = keys ^ (np.asarray(seeds, np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _unsigned(keys) -> np.ndarray:
+    return np.atleast_1d(np.asarray(keys, np.int64)).view(np.uint64)
 
 
 class PerfectHash:
@@ -206,42 +239,48 @@ class PerfectHash:
         self.seeds, self.size = seeds, size
 
     @classmethod
-    def of(cls, keys: list[int]) -> PerfectHash:
+    def of(cls, keys) -> PerfectHash:
+        keys = _unsigned(keys)
         size = len(keys)
         seeds = np.zeros(max(1, -(-size // BUCKET)), np.int64)
-        buckets: list[list[int]] = [[] for _ in seeds]
-        for key in keys:
-            buckets[mixed(key, 0) % len(seeds)].append(key)
-        taken = bytearray(size)
-        order = sorted(range(len(seeds)), key=lambda b: -len(buckets[b]))
-        free = None
-        for b in order:
-            members = buckets[b]
-            if not members:
-                break
-            if len(members) == 1:
-                if free is None:
-                    free = iter([s for s in range(size) if not taken[s]])
-                seeds[b] = -1 - next(free)
-                continue
-            seed = 1
-            while True:
-                slots = {mixed(key, seed) % size for key in members}
-                if len(slots) == len(members) and not any(taken[s] for s in slots):
-                    break
-                seed += 1
-            seeds[b] = seed
-            for s in slots:
-                taken[s] = 1
+        home = (mixed(keys, 0) % np.uint64(len(seeds))).astype(np.int64)
+        members = keys[np.argsort(home, kind="stable")]
+        counts = np.bincount(home, minlength=len(seeds))
+        ends = np.cumsum(counts)
+        taken = np.zeros(size, bool)
+        order = np.argsort(-counts, kind="stable")
+        for b in order[counts[order] > 1].tolist():
+            seeds[b], slots = cls._seed(members[ends[b] - counts[b] : ends[b]], taken)
+            taken[slots] = True
+        single = order[counts[order] == 1]
+        seeds[single] = -1 - np.flatnonzero(~taken)[: len(single)]
         return cls(seeds, size)
 
+    @staticmethod
+    def _seed(keys: np.ndarray, taken: np.ndarray) -> tuple[int, np.ndarray]:
+        """The first seed that puts the keys of a bucket into different free slots."""
+        first, tried = 1, 16
+        while True:
+            tries = np.arange(first, first + tried, dtype=np.uint64)[:, None]
+            slots = (mixed(keys[None, :], tries) % np.uint64(len(taken))).astype(np.int64)
+            for k in np.flatnonzero(~taken[slots].any(axis=1)).tolist():
+                if len(set(slots[k].tolist())) == len(keys):
+                    return first + k, slots[k]
+            first, tried = first + tried, min(2 * tried, 1 << 12)
+
+    def slots_of(self, keys) -> np.ndarray:
+        """The slot of every key; any slot for keys that are not in the hash."""
+        keys = _unsigned(keys)
+        seeds = self.seeds[(mixed(keys, 0) % np.uint64(len(self.seeds))).astype(np.int64)]
+        hashed = mixed(keys, np.maximum(seeds, 0).astype(np.uint64)) % np.uint64(max(1, self.size))
+        return np.where(seeds < 0, -1 - seeds, hashed.astype(np.int64))
+
     def slot(self, key: int) -> int:
-        seed = int(self.seeds[mixed(key, 0) % len(self.seeds)])
-        return -1 - seed if seed < 0 else mixed(key, seed) % self.size
+        return int(self.slots_of(key)[0])
 
 
-def fingerprint(key: int) -> int:
-    return mixed(key, MASK) >> 32
+def fingerprints(keys) -> np.ndarray:
+    return (mixed(_unsigned(keys), np.uint64(MASK)) >> np.uint64(32)).astype(np.uint32)
 
 
 # --- files ---------------------------------------------------------------------
@@ -270,14 +309,12 @@ def _read(path: str) -> bytes:
 
 def _index_bytes(rows: np.ndarray) -> bytes:
     """The documents in order, then seeds and slots of the hash over their keys."""
-    numbers: dict[int, int] = {}
-    for number, (key, has_key) in enumerate(zip(rows["key"].tolist(), rows["has_key"].tolist())):
-        if has_key:
-            numbers.setdefault(key, number)
-    hashed = PerfectHash.of(list(numbers))
-    slots = np.zeros(len(numbers), SLOT)
-    for key, number in numbers.items():
-        slots[hashed.slot(key)] = (fingerprint(key), number)
+    numbers = np.flatnonzero(rows["has_key"])
+    keys, first = np.unique(rows["key"][numbers], return_index=True)
+    numbers = numbers[first]
+    hashed = PerfectHash.of(keys)
+    slots = np.zeros(len(keys), SLOT)
+    slots[hashed.slots_of(keys)] = np.rec.fromarrays([fingerprints(keys), numbers.astype(np.uint32)], dtype=SLOT)
     head = np.array([len(rows), len(hashed.seeds), len(slots)], "<u8")
     return head.tobytes() + rows.tobytes() + hashed.seeds.astype("<i8").tobytes() + slots.tobytes()
 
@@ -302,52 +339,48 @@ def write_ids(
     """Writes shards under ``folder`` and returns the manifest; write it to run the job once.
 
     Keys are integers. The texts are shuffled once, by key range; the hash of the text
-    is part of the range key, so that one key with many rows is split as well.
+    is part of the range key, so that one key with many rows is split as well. A task
+    writes its documents as one shard after the other.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("key"), text_or_empty(text_col).alias("text"))
-    shards = max(1, -(-docs.count() // docs_per_shard))
+    count = docs.count()
+    shards = max(1, -(-count // docs_per_shard))
+    tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // DOCS_PER_TASK)))
     rows = rows.withColumn("h", F.xxhash64("text"))
-    rows = rows.repartitionByRange(shards, "key", "h").sortWithinPartitions("key", "h", "text")
+    rows = rows.repartitionByRange(tasks, "key", "h").sortWithinPartitions("key", "h", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        shard = TaskContext.get().partitionId()
+        first = TaskContext.get().partitionId() << SHARD_BITS
         encoder = _encoder(tokenizer_file)
         end = end_id.to_bytes(encoder.width, "little")
-        keys, lengths = [], []
-
-        def parts() -> Iterator[bytes]:
-            for batch in batches:
-                keys.extend(batch["key"].to_pylist())
-                for raw in encoder.encode(batch["text"].to_pylist()):
-                    lengths.append(len(raw) // encoder.width + 1)
-                    yield raw + end
-
-        name = f"{folder}/shard-{shard:08d}-{uuid.uuid4().hex}"
-        first = next(batches, None)
-        if first is None:
-            return
-        batches = _chained(first, batches)
-        _write(f"{name}.ids", parts())
-        index = np.zeros(len(keys), INDEX)
-        index["has_key"] = [key is not None for key in keys]
-        index["key"] = [key or 0 for key in keys]
-        index["length"] = lengths
-        index["offset"] = np.cumsum(lengths) - lengths
-        _write(f"{name}.index", iter([_index_bytes(index)]))
-        real = [key for key in keys if key is not None]
-        row = [shard, f"{name}.ids", f"{name}.index", len(keys), sum(lengths), encoder.width, *((real[0], real[-1]) if real else (None, None))]
-        yield pa.RecordBatch.from_pylist([dict(zip(_names(), row))], schema=_arrow_manifest())
+        encoded = ((keys, raw + end) for batch in batches for keys, raw in zip(batch["key"].to_pylist(), encoder.encode(batch["text"])))
+        for shard, head in enumerate(encoded, first):
+            keys, lengths = [], []
+
+            def parts() -> Iterator[bytes]:
+                for key, raw in chain([head], islice(encoded, docs_per_shard - 1)):
+                    keys.append(key)
+                    lengths.append(len(raw) // encoder.width)
+                    yield raw
+
+            name = f"{folder}/shard-{shard:016d}-{uuid.uuid4().hex}"
+            _write(f"{name}.ids", parts())
+            index = np.zeros(len(keys), INDEX)
+            index["has_key"] = [key is not None for key in keys]
+            index["key"] = [key or 0 for key in keys]
+            index["length"] = lengths
+            index["offset"] = np.cumsum(lengths) - lengths
+            _write(f"{name}.index", iter([_index_bytes(index)]))
+            real = [key for key in keys if key is not None]
+            row = [shard, f"{name}.ids", f"{name}.index", len(keys), sum(lengths), encoder.width, *((real[0], real[-1]) if real else (None, None))]
+            yield pa.RecordBatch.from_pylist([dict(zip(_names(), row))], schema=_arrow_manifest())
 
     return rows.select("key", "text").mapInArrow(write, MANIFEST)
 
 
-def _chained(first, rest):
-    yield first
-    yield from rest
-
-
 def _names() -> list[str]:
     return [field.split()[0] for field in MANIFEST.split(", ")]
 
@@ -357,33 +390,51 @@ def _arrow_manifest() -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in MANIFEST.split(", "))])
 
 
-def read_documents(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def read_documents(manifest: DataFrame, id_col: str = "doc_id", store: Store | None = None) -> DataFrame:
     """``id_col, start, n_tokens, ids_crc32`` of every document, read from the files.
 
-    ``start`` counts the ids of all documents before it. The running total goes over
-    one row for each shard.
+    A document with a key is fetched through the hash: its key's slot must hold the key's
+    fingerprint and names the place of the ids. Rows without a key, and rows of a key
+    after its first, have no slot and are read in order. ``start`` counts the ids of all
+    documents before it, by a running total over one row for each shard.
     """
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    placed = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-    placed = placed.select("shard", "ids_file", "index_file", "width", "base").repartition("shard")
+    spark = manifest.sparkSession
+    placed = running_total(manifest, ["shard"], "n_ids", store or Store(spark, "idstore"))
+    # The manifest is small, the files it names are not, so the number of tasks does not follow its bytes.
+    shards = manifest.count()
+    tasks = max(1, -(-shards // SHARDS_PER_TASK), min(-(-shards // 2), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    placed = placed.select("shard", "ids_file", "index_file", "width", F.col("before").alias("base")).repartition(tasks, "shard")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in batch.to_pylist():
-                raw = _read(shard["ids_file"])
-                index, _, _ = _index_of(_read(shard["index_file"]))
-                ids = np.frombuffer(raw, f"<u{shard['width']}")
-                sums = []
-                for offset, length in zip(index["offset"].tolist(), index["length"].tolist()):
-                    sums.append(zlib.crc32(ids[offset : offset + length].astype("<u4")))
+                ids = np.frombuffer(_read(shard["ids_file"]), f"<u{shard['width']}")
+                index, hashed, slots = _index_of(_read(shard["index_file"]))
+                numbers = _fetched(index, hashed, slots, shard["index_file"])
+                offsets, lengths = index["offset"][numbers].astype(np.int64), index["length"][numbers].astype(np.int64)
+                sums = [zlib.crc32(ids[a : a + n].astype("<u4")) for a, n in zip(offsets.tolist(), lengths.tolist())]
                 keys = pa.array(index["key"].astype(np.int64), mask=index["has_key"] == 0)
-                starts = index["offset"].astype(np.int64) + shard["base"]
-                columns = [keys, pa.array(starts), pa.array(index["length"].astype(np.int64)), pa.array(sums, pa.int64())]
+                columns = [keys, pa.array(offsets + shard["base"]), pa.array(lengths), pa.array(sums, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, [id_col, "start", "n_tokens", "ids_crc32"])
 
     return placed.mapInArrow(read, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long")
 
 
+def _fetched(index: np.ndarray, hashed: PerfectHash, slots: np.ndarray, name: str) -> np.ndarray:
+    """Which entry of the index holds each document: what the hash says for the first row of a key, itself for other rows."""
+    numbers = np.arange(len(index))
+    keyed = np.flatnonzero(index["has_key"])
+    if not len(keyed):
+        return numbers
+    keys = index["key"][keyed]
+    found = slots[hashed.slots_of(keys)]
+    if (found["fingerprint"] != fingerprints(keys)).any() or (index["key"][found["number"]] != keys).any():
+        raise ValueError(f"the hash of {name} does not find its own keys")
+    first = np.concatenate([[True], keys[1:] != keys[:-1]])  # rows are in the order of keys
+    numbers[keyed[first]] = found["number"][first]
+    return numbers
+
+
 class Shard:
     """Keyed access to one shard."""
 
@@ -397,7 +448,7 @@ class Shard:
         if not self.hash.size:
             return None
         slot = self.slots[self.hash.slot(key)]
-        if slot["fingerprint"] != fingerprint(key):
+        if slot["fingerprint"] != fingerprints(key)[0]:
             return None
         row = self.index[slot["number"]]
         if row["key"] != key:
@@ -415,14 +466,14 @@ def lookup(keys: DataFrame, manifest: DataFrame, id_col: str = "doc_id") -> Data
     """
     bounds = manifest.where("first_key is not null").select("shard", "first_key", "last_key").orderBy("shard").toPandas()
     firsts, lasts = (bounds[c].to_numpy(np.int64) for c in ("first_key", "last_key"))
-    numbers = np.append(bounds["shard"].to_numpy(np.int32), -1)
+    numbers = np.append(bounds["shard"].to_numpy(np.int64), -1)
 
-    @F.arrow_udf("int")
+    @F.arrow_udf("long")
     def shard_of(values: pa.Array) -> pa.Array:
         values = values.to_numpy(zero_copy_only=False)
         place = np.searchsorted(lasts, values)
         inside = np.append(firsts, np.iinfo(np.int64).max)[place] <= values
-        return pa.array(np.where(inside, numbers[place], -1).astype(np.int32))
+        return pa.array(np.where(inside, numbers[place], -1).astype(np.int64))
 
     wanted = keys.select(F.col(id_col).cast("long").alias("key")).dropna().distinct()
     wanted = wanted.withColumn("shard", shard_of("key"))
@@ -448,7 +499,7 @@ def lookup(keys: DataFrame, manifest: DataFrame, id_col: str = "doc_id") -> Data
 def write_and_read(docs: DataFrame, store, **options) -> DataFrame:
     """Writes all documents into a folder of ``store`` and reads them back."""
     manifest = store.keep(write_ids(docs, store.path("ids"), **options), "manifest")
-    return read_documents(manifest)
+    return read_documents(manifest, store=store)
 
 
 def open_shard(spark: SparkSession, manifest: DataFrame, key: int) -> Shard | None:
