@@ -100,6 +100,7 @@ class Layout:
     fan_out: int
     boxes: int  # dimensions in a box
     blocks: int  # upper estimate of the number of blocks
+    dims: list[int]  # the dimensions in a box
 
 
 def place(points: DataFrame, rows: int, dim: int, store: Store, block_rows: int) -> Layout:
@@ -136,7 +137,7 @@ def place(points: DataFrame, rows: int, dim: int, store: Store, block_rows: int)
     placed = placed.join(sizes, "node")
     placed = placed.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks"))).drop("chunks")
     blocks = fan_out**levels + math.ceil(rows / block_rows)
-    return Layout(placed, summary, levels, fan_out, len(dims), blocks)
+    return Layout(placed, summary, levels, fan_out, len(dims), blocks, dims)
 
 
 def _widest_dims(points: DataFrame, rows: int, dim: int) -> list[int]:
