@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import sys
 import types
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,3 +73,26 @@ WORD_TABLE = word_table()
 
 def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(WORD_TABLE).split()
+
+
+class Cover:
+    """Intervals that were added, asked whether one of them contains another; logarithmic in their number.
+
+    Held are those that no other contains: their starts and ends both ascend.
+    """
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def contains(self, start: int, end: int) -> bool:
+        k = bisect_right(self.starts, start) - 1
+        return k >= 0 and self.ends[k] >= end
+
+    def add(self, start: int, end: int) -> None:
+        if self.contains(start, end):
+            return
+        first = bisect_left(self.starts, start)
+        last = bisect_right(self.ends, end, lo=first)
+        self.starts[first:last] = [start]
+        self.ends[first:last] = [end]

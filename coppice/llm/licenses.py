@@ -19,11 +19,12 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coppice.llm.common import per_worker, text_or_empty, words_of
+from coppice.llm.common import Cover, per_worker, text_or_empty, words_of
 
 # The base phrases and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -186,6 +187,11 @@ def rules() -> dict[bytes, list[Rule]]:
     return by_key
 
 
+def _spaces(line: bytes) -> np.ndarray:
+    """Places of the spaces, so that the number before a place is a search in them."""
+    return np.flatnonzero(np.frombuffer(line, np.uint8) == 0x20)
+
+
 def base_places(words: list[bytes], line: bytes) -> list[tuple[int, str]]:
     """Word numbers where the words of a base phrase stand consecutively."""
     found = []
@@ -193,9 +199,12 @@ def base_places(words: list[bytes], line: bytes) -> list[tuple[int, str]]:
         needle = f" {phrase} ".encode()
         at = line.find(needle)
         while at >= 0:
-            found.append((line.count(b" ", 0, at), label))
+            found.append((at, label))
             at = line.find(needle, at + 1)
-    return sorted(found)
+    if not found:
+        return []
+    places, labels = zip(*found)
+    return sorted(zip(np.searchsorted(_spaces(line), places).tolist(), labels))
 
 
 def detect(line: bytes, by_key: dict[bytes, list[Rule]]) -> list[Detection]:
@@ -210,14 +219,17 @@ def detect(line: bytes, by_key: dict[bytes, list[Rule]]) -> list[Detection]:
                 ran.add(rule.number)
                 for m in rule.pattern.finditer(line):
                     found.append((-rule.priority, m.start() - m.end(), m.start(), rule.number, m.end(), rule))
-    kept: list[tuple[int, int, Rule]] = []
+    if not found:
+        return []
+    cover, kept = Cover(), []
     for _, _, start, _, end, rule in sorted(found, key=lambda f: f[:4]):
-        if not any(s <= start and end <= e for s, e, _ in kept):
+        if not cover.contains(start, end):
+            cover.add(start, end)
             kept.append((start, end, rule))
-    return [
-        Detection(line.count(b" ", 0, s) - 1, line.count(b" ", 0, e), rule.label, rule.priority, rule.weight)
-        for s, e, rule in sorted(kept, key=lambda k: k[:2])
-    ]
+    kept.sort(key=lambda k: k[:2])
+    spaces = _spaces(line)
+    firsts, lasts = (np.searchsorted(spaces, [k[side] for k in kept]).tolist() for side in (0, 1))
+    return [Detection(s - 1, e, rule.label, rule.priority, rule.weight) for s, e, (_, _, rule) in zip(firsts, lasts, kept)]
 
 
 def scan_column(text_col: str = "text"):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coppice.llm.common import text_or_empty
+from coppice.llm.common import Cover, text_or_empty
 
 # The kinds in their order, and the forms of plain identifiers.
 KINDS = ("email", "ip", "card", "phone")
@@ -49,8 +49,17 @@ NUMERALS = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4",
     "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
 }
-# Endings of domains after a spoken "at"; none is an English word.
+# Longer endings of domains, and such of two letters as stand after a plain dot; none is an English word.
 ENDINGS = "com|org|net|edu|gov|mil|info|biz|io|co|ai|app|dev|uk|de|fr|es|nl|eu|ch|ca|au|jp|br|ru|pl|se|dk|fi|cz|pt|test|example|local|xyz"
+# English words of two letters that are endings of domains as well, or look like one.
+SHORT_WORDS = "am|an|as|at|be|by|do|go|he|if|in|is|it|me|my|no|of|on|or|so|to|up|us|we"
+# English words that stand before a plain "at", so are no name there.
+BEFORE_AT = frozenset(
+    "am are arrive arrived arrives available be been being bought buy call came come find found he here him hosted i is it "
+    "listed live lived lives located look looked looking looks me meet meets met now online page pages post posted published "
+    "read see sell she shop site sites sold stay stays store that them there they this time us visit was we website were work "
+    "worked works you".split()
+)
 
 SPAN = tuple[int, int, str]
 
@@ -166,7 +175,11 @@ CAPITALS = re.compile(r"(?<=[a-z0-9])(?P<at>AT)(?=[a-z0-9-]{1,63}(?:DOT[a-z0-9-]
 CAPITALS_HINT = re.compile(r"[a-z0-9]AT[a-z0-9-]{1,63}DOT[a-z]")
 SPOKEN_DOT = re.compile(rf"(?i)(?<={_WORD})\s{{1,3}}dot\s{{1,3}}(?={_WORD})")
 _NAME = r"[A-Za-z0-9-]{1,63}"
-SPOKEN_AT = re.compile(rf"(?i)(?<={_WORD})(?P<at>\s{{1,3}}at\s{{1,3}})(?={_NAME}(?:[.\x00]{_NAME}){{0,8}}?\x00(?:{ENDINGS})\b)")
+#: The end of a spoken domain: a listed one, or any two letters that are no English word going on to the next.
+_SPOKEN_END = rf"\x00(?:{ENDINGS}|(?!(?:{SHORT_WORDS})\s{{1,3}}[A-Za-z])[a-z]{{2}})\b"
+SPOKEN_AT = re.compile(
+    rf"(?i)(?P<name>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{0,63}}{_WORD})(?P<at>\s{{1,3}}at\s{{1,3}})(?={_NAME}(?:[.\x00]{_NAME}){{0,8}}?{_SPOKEN_END})"
+)
 #: With a plain dotted domain only after a name that no sentence holds: one with a digit or sign inside.
 NAMED_AT = re.compile(
     rf"(?i)\b(?:[A-Za-z]{{1,32}}[0-9]{{1,9}}|(?:[A-Za-z0-9]{{1,32}}[._%+-]){{1,4}}[A-Za-z0-9]{{1,32}})"
@@ -210,7 +223,8 @@ def sign_words(text: Rewritten) -> Rewritten:
     text = text.replace([(*span, ".") for span in spaced])
     text = text.replace([(*m.span(), "\x00") for m in SPOKEN_DOT.finditer(text.text)])
     for form in (SPOKEN_AT, NAMED_AT, SPACED_AT):
-        text = text.replace([(*m.span("at"), "@") for m in form.finditer(text.text)])
+        found = [m for m in form.finditer(text.text) if form is not SPOKEN_AT or m["name"].lower() not in BEFORE_AT]
+        text = text.replace([(*m.span("at"), "@") for m in found])
     return text.replace([(k, k + 1, ".") for k in _places(text.text, "\x00")])
 
 
@@ -279,12 +293,15 @@ def added_spans(text: str, base: list[SPAN]) -> list[SPAN]:
     found = set(found) - set(base)
     out: list[SPAN] = []
     for kind in KINDS:
-        held = [(s, e) for s, e, k in base if k == kind]
+        cover = Cover()
+        for s, e, k in base:
+            if k == kind:
+                cover.add(s, e)
         # The widest reading of a place wins; a base span stays as it is.
         for s, e in sorted([(s, e) for s, e, k in found if k == kind], key=lambda x: (x[0] - x[1], x[0])):
-            if not any(hs <= s and e <= he for hs, he in held) and text[s:e].strip():
+            if not cover.contains(s, e) and text[s:e].strip():
                 out.append((s, e, kind))
-                held.append((s, e))
+                cover.add(s, e)
     return out
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from coppice.llm import decontaminate, html_extract, licenses, pii, sentencepiece_bpe, toxicity
 from coppice.llm import queries as Q
+from coppice.llm.common import Cover
 
 from .conftest import EDGES, TABLES
 
@@ -432,3 +433,47 @@ def test_pages_of_many_open_tags_take_linear_time(unit):
     once = min(seconds_of(html_extract.extract, unit * 25_000, weights) for _ in range(3))
     twice = min(seconds_of(html_extract.extract, unit * 50_000, weights) for _ in range(3))
     assert twice < 3 * once
+
+
+def test_cover_by_all_pairs():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        cover, held = Cover(), []
+        for start, size in rng.integers(0, 12, (30, 2)).tolist():
+            end = start + size + 1
+            inside = any(s <= start and end <= e for s, e in held)
+            assert cover.contains(start, end) == inside
+            cover.add(start, end)
+            held.append((start, end))
+
+
+def test_many_notices_and_addresses_take_linear_time():
+    by_key = licenses.rules()
+
+    def notices(n):
+        line = b" " + b" ".join(licenses.words_of("Licensed under the Apache License, Version 2.0. mit license x " * n)) + b" "
+        assert len(licenses.detect(line, by_key)) == 2 * n and len(licenses.base_places([], line)) == 2 * n
+
+    def addresses(n):
+        text = "write to jo (at) example (dot) com or " * n
+        assert len(pii.added_spans(text, pii.base_spans(text))) == n
+
+    for work in (notices, addresses):
+        once = min(seconds_of(work, 10_000) for _ in range(3))
+        assert min(seconds_of(work, 20_000) for _ in range(3)) < 3 * once
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("write li at firma dot cn now", "li at firma dot cn"),
+        ("ana at uni dot mx", "ana at uni dot mx"),
+        ("mail j.doe at example dot co dot uk", "j.doe at example dot co dot uk"),
+        ("ask tom at shop dot it.", "tom at shop dot it"),
+        ("the meeting is at example dot com today", None),
+        ("it is hosted at example dot org", None),
+        ("she smiled at polka dot in red", None),
+    ],
+)
+def test_spoken_addresses_end_by_rule(text, found):
+    assert [text[s:e] for s, e, _ in pii.added_spans(text, pii.base_spans(text))] == ([found] if found else [])
