@@ -70,6 +70,17 @@ def test_dendrogram_files(spark, tmp_path):
     assert short == [(r[3], r[4], r[6]) for r in merges]
 
 
+def test_exchange_text_is_that_of_c(spark, tmp_path):
+    """Line by line what printf("%.15g") writes, also for whole, tiny and huge numbers and for halves of the last digit."""
+    heights = [0.0, 1.0, 2.5, 1 / 3, 2**0.5, 1e-7, 123456789012345.6, 1e15, 1.5e300, 0.1 + 0.2, 1.0000000000000005, 100.0]
+    rows = [(k, k, k + 1, k, k + 1, h, 2) for k, h in enumerate(heights)]
+    schema = "step long, slot_a long, slot_b long, cluster_a long, cluster_b long, distance double, new_size long"
+    dendrograms.write_exchange(spark.createDataFrame(rows, schema).coalesce(1), str(tmp_path / "c"))
+    lines = [line for part in sorted((tmp_path / "c").glob("part-*")) for line in part.read_text().splitlines()]
+    lines = [line for k, line in enumerate(lines) if k == 0 or not line.startswith("cluster_a")]
+    assert lines == ["cluster_a,cluster_b,distance,new_size"] + ["%d,%d,%.15g,2" % (k, k + 1, h) for k, h in enumerate(heights)]
+
+
 LOG = [
     # executable, dataset, n, threads, block size, runtime
     ("mst_cpu", "random_n500", 500, 1, None, 10.0),
