@@ -13,7 +13,8 @@ benchmark, and a task goes through them one after the other.
 
 Edge cases: null and empty texts or items have no words and hit nothing; items
 of one id count as one, a null id is the empty name; a benchmark without rows
-leaves every text clean; repeated documents are judged alike, row by row.
+leaves every text clean; repeated documents are judged alike, row by row. Columns
+of other names are not read, and an empty table of documents gives no rows.
 """
 
 from __future__ import annotations

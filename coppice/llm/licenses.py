@@ -11,7 +11,8 @@ Most rules come from license names put into forms of notice; the rest are senten
 license texts. The score is 1 - product(1 - weight) over the detections that stay.
 
 A row depends on its text alone: null and empty texts have no words and the score 0;
-repeated rows and ties need no rule.
+repeated rows and ties need no rule. Columns of other names are not read, and an empty
+table gives no rows. Long texts take linear time, but for the sorting of detections.
 """
 
 from __future__ import annotations

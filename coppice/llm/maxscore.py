@@ -16,7 +16,8 @@ Edge cases: vectors that are null or hold null or non-finite components take no
 vectors of another length than a query's are no candidates of it; rows that repeat id
 and vector count once, and one id with several vectors is one query, the best over
 them. Rows with the query's id are no candidates. Equal
-scores go to the smaller id. Fewer than k candidates are all returned.
+scores go to the smaller id. Fewer than k candidates are all returned. Columns of
+other names are not read; without vectors or queries there are no rows.
 """
 
 from __future__ import annotations

@@ -8,8 +8,9 @@ compose, so that an identifier found in the rewritten text maps back to the span
 source. Only spans that no base span of the same kind covers are added.
 
 Offsets are code points, end exclusive. A row depends on its text alone: null and
-empty texts have no spans, ties and repeated rows need no rule. All searches are
-linear in the length of the text.
+empty texts have no spans, ties and repeated rows need no rule. Columns of other names
+are not read, and an empty table gives no rows. Searches are linear in the length of the
+text, but for the sorting of the spans.
 """
 
 from __future__ import annotations

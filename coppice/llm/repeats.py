@@ -28,7 +28,7 @@ segments under repeated names.
 Edge cases: null and empty texts have no bytes; texts shorter than ``length`` keep all;
 rows are told apart by id and text, so rows that repeat both are copies of each other
 and lose everything from ``length`` bytes on, as do equal texts under other ids; null
-ids are allowed.
+ids are allowed. Columns of other names are not read, and an empty table gives no rows.
 """
 
 from __future__ import annotations

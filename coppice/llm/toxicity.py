@@ -10,7 +10,8 @@ Edge cases: a null text counts as an empty one; an empty text scores by the
 intercept. Rows without a label, and labels without a document, take no part in the
 fit; a repeated row counts as often as it stands there. Without labels, or with one
 class only, the model is the smoothed share of that class. Ties among features go to
-the smaller number.
+the smaller number. Columns of other names are not read; an empty table of documents gives
+no rows, and a fit without documents is one without labels.
 """
 
 from __future__ import annotations

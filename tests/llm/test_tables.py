@@ -7,13 +7,14 @@ from collections import Counter
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from coppice.llm import idstore, maxscore, repeats, simhash, toxicity
+from coppice.llm import decontaminate, idstore, licenses, maxscore, pii, repeats, sentencepiece_bpe, simhash, toxicity
 from coppice.llm import queries as Q
 from coppice.store import Store
 
-from .conftest import EDGES, TABLES
+from .conftest import CLASHING, EDGES, TABLES
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -369,3 +370,26 @@ def test_pipeline_edges(spark, edges, tmp_path):
         assert docs.columns == columns
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash", "decontamination", "pii", "sentencepiece"]
+
+
+# --- empty tables --------------------------------------------------------------
+
+
+def test_empty_tables_and_clashing_columns(spark, frame, tables):
+    """No documents give no rows, for every operator on documents; all take extra columns of their own inner names."""
+    none = frame([]).limit(0)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([], "item_id long, text string")
+    model = toxicity.fit(none, labels)
+    assert pii.find(none).collect() == []
+    assert toxicity.score(none, model).collect() == []
+    assert decontaminate.scan(none, items).collect() == []
+    assert simhash.near_duplicates(none).collect() == []
+    assert licenses.scan(none).collect() == []
+    assert repeats.remove_repeats(none).collect() == []
+    assert idstore.write_and_read(none, Store(spark, "none")).collect() == []
+    assert sentencepiece_bpe.digests(none).collect() == []
+    vectors = tables("embeddings").limit(20).withColumns({c: F.lit("x") for c in CLASHING})
+    kept = maxscore.integer_vectors(vectors)
+    assert maxscore.top_k(kept, kept, 2).count() == 40
+    assert maxscore.top_k(kept.limit(0), kept.limit(0), 2).collect() == []
