@@ -26,6 +26,7 @@ SHOWN_SETS = [
 SPEEDUP_SETS = ["random_n500", "random_n2000", "random_n5000", "complex9", "optdigits"]
 THREADS = [1, 2, 3, 4, 8, 12, 16]
 
+PIVOT_COLUMNS = 1_000  # values that a pivot turns into columns by itself
 GROUP_ROWS = 1_000_000  # rows of one configuration that the built-in median may hold
 
 
@@ -127,9 +128,15 @@ def pivot_median(
     columns: list | None = None,
     order: str | None = None,
 ) -> DataFrame:
-    """Median by ``index`` (rows) and ``column``; rows ordered by the smallest ``order``."""
+    """Median by ``index`` (rows) and ``column``; rows ordered by the smallest ``order``.
+
+    Without ``columns`` the different values become columns; more than ``PIVOT_COLUMNS`` of them are an error.
+    """
     if columns is None:
-        columns = [r[0] for r in rows.select(column).distinct().orderBy(column).collect()]
+        found = rows.select(column).distinct().orderBy(column).limit(PIVOT_COLUMNS + 1).collect()
+        if len(found) > PIVOT_COLUMNS:
+            raise ValueError(f"{column} has more than {PIVOT_COLUMNS} values; name the columns that are wanted")
+        columns = [r[0] for r in found]
     medians = median_per_config(rows, [index, column], value)
     grid = medians.groupBy(index).pivot(column, columns).agg(F.first(f"median_{value}"))
     if order is None:

@@ -36,3 +36,14 @@ def test_part_numbers_beyond_five_digits(spark, tmp_path):
         )
     found = read_exchange(spark, str(tmp_path)).orderBy("step").collect()
     assert [r["cluster_a"] for r in found] == [7, 99_999, 100_000]
+
+
+def test_pivot_of_too_many_values(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(runlog, "PIVOT_COLUMNS", 2)
+    rows = spark.createDataFrame([("a", k, float(k)) for k in (1, 2, 3)], "dataset string, threads int, runtime_ms double")
+    with pytest.raises(ValueError):
+        runlog.pivot_median(rows)
+    found = runlog.pivot_median(rows, columns=[1, 3]).first()
+    assert (found["1"], found["3"]) == (1.0, 3.0)
