@@ -113,3 +113,53 @@ def test_growing_gaps_take_one_chain(spark, make_points):
     rows = [(k * k,) for k in range(60)]
     found = euclidean_mst(make_points(rows), block_rows=8, tail_edges=0)
     assert sorted((r["u"], r["v"]) for r in found.collect()) == [(k, k + 1) for k in range(59)]
+
+
+def test_squares_of_tiles_send_a_block_once(make_points, monkeypatch):
+    """Many dimensions and many tiles: the same rows, with fewer copies of the points than tiles ask for."""
+    from coppice.operators import blocks, mst, nearest
+
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(160, 12))
+    rows[40:60] = rows[:20] + 1e-9  # nearly equal: far below the rounding of a matrix product
+    sent = []
+    whole = blocks.over_tiles
+
+    def watched(placed, work, count, *rest):
+        monkeypatch.setattr(blocks, "SQUARES_PER_CORE", 0.25)
+        found = whole(placed, work, count, *rest)
+        sent.append((count, found.count()))
+        return found
+
+    monkeypatch.setattr(blocks.math, "isqrt", lambda k: int(k**0.5))
+    for module in (mst, nearest):
+        monkeypatch.setattr(module, "over_tiles", watched)
+    points = make_points(rows)
+    assert edges_of(euclidean_mst(points, 8)) == kruskal(rows, range(160))[0]
+    count, found = sent[0]
+    assert count > 100 and found < 10 * count  # a square gives the edges of one tree, not those of every tile
+    best = {}
+    for w, u, v in pair_list(rows, range(160)):
+        for p, q in ((u, v), (v, u)):
+            best[p] = min(best.get(p, (np.inf, -1)), (w, q))
+    assert {r.id: (r.w, r.other) for r in nearest_neighbors(points, 8).collect()} == best
+
+
+def test_nearest_rows_of_a_block():
+    from coppice.functions.tiles import distances, nearest_rows
+
+    rng = np.random.default_rng(6)
+    for x, y in [
+        (rng.integers(0, 3, (60, 10)).astype(float), rng.integers(0, 3, (50, 10)).astype(float)),
+        (1e6 + rng.normal(size=(40, 9)) * 1e-4, 1e6 + rng.normal(size=(45, 9)) * 1e-4),
+        (rng.normal(size=(1, 9)) * 1e200, rng.normal(size=(3, 9)) * 1e200),
+    ]:
+        with np.errstate(over="ignore"):
+            dist = distances(x, y)
+            for (at, w), table in zip(nearest_rows(x, y), (dist, dist.T)):
+                assert (at == table.argmin(axis=1)).all() and (w == table.min(axis=1)).all()
+    x = rng.integers(0, 2, (30, 9)).astype(float)
+    dist = distances(x, x)
+    np.fill_diagonal(dist, np.inf)
+    ((at, w),) = nearest_rows(x, x, same=True)
+    assert (at == dist.argmin(axis=1)).all() and (w == dist.min(axis=1)).all()
