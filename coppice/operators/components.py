@@ -7,20 +7,29 @@ from pyspark.sql import functions as F
 
 from coppice.store import Store
 
-def hop(links: DataFrame) -> DataFrame:
+SPREAD_ROWS = 100_000  # tables of more rows are joined by a shuffle, and never sent whole through the driver
+
+
+def spread(table: DataFrame, rows: int) -> DataFrame:
+    """A side of a join that stays distributed if it has many rows, however small its files are."""
+    return table.hint("merge") if rows > SPREAD_ROWS else table
+
+
+def hop(links: DataFrame, rows: int = 0) -> DataFrame:
     """Follow ``(id, up)`` pointers one step, which doubles the distance they cover; ``moved`` tells which did."""
     ahead = links.select(F.col("id").alias("up"), F.col("up").alias("next"))
     onward = F.coalesce("next", "up")
-    return links.join(ahead, "up", "left").select(
+    return links.join(spread(ahead, rows), "up", "left").select(
         "id", onward.alias("up"), (onward != F.col("up")).alias("moved")
     )
 
 
 def follow_to_end(links: DataFrame, store: Store) -> DataFrame:
     """Pointers of a forest, each to its root, after a logarithmic number of written steps."""
-    links = store.keep(hop(links.select("id", "up")), "hops")
+    rows = links.count()
+    links = store.keep(hop(links.select("id", "up"), rows), "hops")
     while not links.where("moved").isEmpty():
-        links = store.keep(hop(links.select("id", "up")), "hops")
+        links = store.keep(hop(links.select("id", "up"), rows), "hops")
     return links.select("id", "up")
 
 
@@ -50,17 +59,20 @@ def connected_components(
         every = every.union(vertices.select("id"))
     live = store.keep(pairs.where("a <> b").distinct(), "edges")
     roots = None
+    known = 0
     while not live.isEmpty():
         both = live.union(live.select("b", "a"))
         up = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
         links = store.keep(up.select("id", F.least("id", "m").alias("up")), "links")
         links = follow_to_end(links, store)
-        live = store.keep(_relabel(live, links), "edges")
-        roots = links if roots is None else store.keep(_compose(roots, links), "roots")
+        rows = links.count()
+        live = store.keep(_relabel(live, spread(links, rows)), "edges")
+        roots = links if roots is None else store.keep(_compose(roots, spread(links, rows)), "roots")
+        known = known or rows  # the first round has every vertex with an edge
     comp = every.distinct()
     if roots is None:
         return comp.withColumn("comp", F.col("id"))
-    return store.keep(comp.join(roots, "id", "left").select("id", F.coalesce("up", "id").alias("comp")), "components")
+    return store.keep(comp.join(spread(roots, known), "id", "left").select("id", F.coalesce("up", "id").alias("comp")), "components")
 
 
 def _relabel(edges: DataFrame, links: DataFrame) -> DataFrame:

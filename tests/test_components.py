@@ -52,3 +52,15 @@ def test_dropped_store_leaves_nothing(spark):
     assert kept.count() == 3 and Path(store.root.removeprefix("file:")).exists()
     store.drop()
     assert not Path(store.root.removeprefix("file:")).exists()
+
+
+def test_many_pointers_stay_out_of_the_driver(spark, monkeypatch):
+    """Pointer tables of many rows are not collected for a broadcast, however small their files are."""
+    from coppice.operators import components
+
+    monkeypatch.setattr(components, "SPREAD_ROWS", 10)
+    links = spark.range(1, 200).selectExpr("id", "id - 1 AS up")
+    plan = components.hop(links, 199)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    edges = spark.range(1, 200).selectExpr("id AS u", "id - 1 AS v")
+    assert {r.comp for r in components.connected_components(edges).collect()} == {0}
