@@ -163,3 +163,31 @@ def test_nearest_rows_of_a_block():
     np.fill_diagonal(dist, np.inf)
     ((at, w),) = nearest_rows(x, x, same=True)
     assert (at == dist.argmin(axis=1)).all() and (w == dist.min(axis=1)).all()
+
+
+def test_copies_are_merged_without_a_replay(make_points, monkeypatch):
+    """Only the edges between different points are left to the parts, and all rows stay right."""
+    from coppice.operators import dendrogram
+
+    rng = np.random.default_rng(8)
+    rows = rng.integers(0, 4, (120, 2)).astype(float)
+    rows[:50] = rows[0]
+    ids = rng.permutation(600)[:120]
+    replayed = []
+    halve = dendrogram._halve
+    monkeypatch.setattr(dendrogram, "_halve", lambda work, *rest: (replayed.append(work.count()), halve(work, *rest))[1])
+    for leaf_edges in (4, 100):
+        found = rows_of(single_linkage(make_points(rows, ids), leaf_edges=leaf_edges))
+        same_merges(found, kruskal(rows, ids)[1])
+    assert replayed and max(replayed) == len(np.unique(rows, axis=0)) - 1
+    same_merges(rows_of(single_linkage(make_points(rows[:50]), leaf_edges=4)), kruskal(rows[:50], range(50))[1])
+
+
+def test_a_tree_whose_copies_have_other_edges(spark):
+    """Points 1 and 2 equal 0, but the longer edges hang on them and not on 0."""
+    edges = [(0, 1, 0.0), (0, 2, 0.0), (1, 3, 1.0), (2, 4, 2.0), (4, 5, 3.0)]
+    tree = spark.createDataFrame(edges, "u long, v long, w double")
+    assert rows_of(mst_to_dendrogram(tree, 2)) == [
+        (0, 0, 1, 0, 1, 0.0, 2), (1, 0, 2, 6, 2, 0.0, 3), (2, 0, 3, 7, 3, 1.0, 4),
+        (3, 0, 4, 8, 4, 2.0, 5), (4, 0, 5, 9, 5, 3.0, 6),
+    ]
