@@ -1,4 +1,7 @@
+import math
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import HAND_TRACE, kruskal, pair_list, rows_of, same_merges
@@ -191,3 +194,33 @@ def test_a_tree_whose_copies_have_other_edges(spark):
         (0, 0, 1, 0, 1, 0.0, 2), (1, 0, 2, 6, 2, 0.0, 3), (2, 0, 3, 7, 3, 1.0, 4),
         (3, 0, 4, 8, 4, 2.0, 5), (4, 0, 5, 9, 5, 3.0, 6),
     ]
+
+
+def watched_repartition(monkeypatch):
+    """Rows and partitions of every table that is dealt by key from here on."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    dealt, deal = [], DataFrame.repartition
+
+    def watched(self, parts, *cols):
+        dealt.append((self.count(), parts))
+        return deal(self, parts, *cols)
+
+    monkeypatch.setattr(DataFrame, "repartition", watched)
+    return dealt
+
+
+def test_pairs_send_a_point_as_often_as_the_cores_ask(make_points, spark, monkeypatch):
+    """However many blocks there are; and all pairs come once where groups are small or empty."""
+    from coppice.operators import nearest
+
+    rng = np.random.default_rng(9)
+    rows, ids = rng.integers(0, 9, (150, 3)).astype(float), rng.permutation(600)[:150]
+    wanted = [(u, v, w) for w, u, v in pair_list(rows, ids)]
+    points = make_points(rows, ids)
+    dealt = watched_repartition(monkeypatch)
+    copies = math.isqrt(2 * nearest.SQUARES_PER_CORE * spark.sparkContext.defaultParallelism)
+    assert edges_of(pairwise_distances(points, block_rows=2)) == sorted(wanted)
+    assert max(sent for sent, _ in dealt) <= 150 * copies
+    monkeypatch.setattr(nearest, "GROUP_CELLS", 30)
+    assert edges_of(pairwise_distances(points, block_rows=4)) == sorted(wanted)
