@@ -1,7 +1,7 @@
 """Spatial blocks of bounded size, and the pairs of blocks that can matter.
 
-Points are split level by level at approximate quantiles, so every node of the
-split tree has a box. A lower bound on the distance between two boxes then rules
+Points are split level by level at approximate quantiles of the widest side of
+their node, so every node of the split tree has a box. A lower bound on the distance between two boxes then rules
 out whole pairs of blocks. The layout never changes a result, only the work.
 """
 
@@ -28,7 +28,8 @@ HOT_SHARE = 1000  # a key with more than 1/1000 of the rows is hot: at most 999
 TILES_PER_TASK = 16
 SLACK = 1e-9  # relative room for rounding in a lower bound
 SQUARES_PER_CORE = 8  # squares of blocks that a core gets where there are many tiles
-GROUP_CELLS = 4_000_000  # numbers in the features of one side of a square: 32 MB
+GROUP_CELLS = 4_000_000  # numbers in the rows of one side of a square: 32 MB
+ROW_CELLS = 30  # what a row takes besides its features: ids, keys, tree edge, found edges
 
 
 @dataclass
@@ -106,7 +107,7 @@ class Layout:
     boxes: int  # dimensions in a box
     blocks: int  # upper estimate of the number of blocks
     dims: list[int]  # the dimensions in a box
-    block_cells: int  # numbers in the features of one block
+    block_cells: int  # numbers in the rows of one block
 
 
 def place(points: DataFrame, rows: int, dim: int, store: Store, block_rows: int) -> Layout:
@@ -121,15 +122,21 @@ def place(points: DataFrame, rows: int, dim: int, store: Store, block_rows: int)
     dims = _widest_dims(points, rows, dim)
     placed = points.withColumn("node", F.lit(0).cast("long"))
     for level in range(levels if fan_out > 1 else 0):
-        x = F.col("features")[dims[level % len(dims)]]
         shares = [i / fan_out for i in range(1, fan_out)]
-        cuts = placed.groupBy("node").agg(F.percentile_approx(x, shares, 1000).alias("cuts"))
-        cuts = store.keep(cuts, "cuts")
+        sides = []
+        for d in dims:
+            x = F.col("features")[d]
+            cuts = F.percentile_approx(x, shares, 1000).alias("cuts")
+            sides.append(F.struct((F.max(x) - F.min(x)).alias("width"), F.lit(-d).alias("at"), cuts))
+        # Equal slices of the widest side: a side of few values would leave nodes that no cut divides.
+        widest = placed.groupBy("node").agg(F.array_max(F.array(*sides)).alias("m"))
+        cuts = store.keep(widest.select("node", (-F.col("m.at")).alias("dim"), "m.cuts"), "cuts")
         if fan_out**level <= BROADCAST_NODES:
             cuts = F.broadcast(cuts)
+        x = F.get("features", F.col("dim"))
         child = sum(((x > F.col("cuts")[i]).cast("long") for i in range(fan_out - 1)), F.lit(0))
         placed = placed.join(cuts, "node").withColumn("node", F.col("node") * fan_out + child)
-        placed = placed.drop("cuts")
+        placed = placed.drop("cuts", "dim")
     summary = placed.groupBy("node").agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.min(F.col("features")[d]).alias(f"lo_{i}") for i, d in enumerate(dims)],
@@ -143,7 +150,7 @@ def place(points: DataFrame, rows: int, dim: int, store: Store, block_rows: int)
     placed = placed.join(sizes, "node")
     placed = placed.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks"))).drop("chunks")
     blocks = fan_out**levels + math.ceil(rows / block_rows)
-    return Layout(placed, summary, levels, fan_out, len(dims), blocks, dims, block_rows * dim)
+    return Layout(placed, summary, levels, fan_out, len(dims), blocks, dims, block_rows * (dim + ROW_CELLS))
 
 
 def _widest_dims(points: DataFrame, rows: int, dim: int) -> list[int]:
@@ -250,7 +257,8 @@ def over_tiles(
     Tiles of neighbouring blocks go together, so a block is sent once to a square and not
     once to each of its tiles. The side of a square is bounded by its points and by the
     number of squares, which grows with the cores: a block is copied about as often as the
-    square root of that number tells, however many blocks there are.
+    square root of that number tells, however many blocks there are. The number of tasks
+    follows the blocks that are sent, so a task holds about one full square.
     """
     parallel = placed.sparkSession.sparkContext.defaultParallelism
     size = math.isqrt(count // (SQUARES_PER_CORE * parallel))
@@ -262,6 +270,8 @@ def over_tiles(
     ends = ends[0].union(ends[1]).distinct()
     squares = math.ceil(count / size**2)
     tasks = max(1, min(squares, 3 * parallel), math.ceil(squares / TILES_PER_TASK))
+    if count * block_cells > tasks * GROUP_CELLS:  # two blocks a tile at most: only then a task could get too many
+        tasks = max(tasks, math.ceil(ends.count() * block_cells / (2 * GROUP_CELLS)))
     sent = placed.join(ends, ["node", "chunk"]).repartition(tasks, *SQUARE)
     names = [f"w_{c}" for c in SQUARE]  # other names: both sides come of one table
     work = work.withColumnsRenamed(dict(zip(SQUARE, names))).repartition(tasks, *names)

@@ -54,6 +54,7 @@ ONE_STAGE_BLOCKS = 24  # with fewer blocks all pairs are compared at once
 GROWTH = 4.0
 MAX_STAGES = 60
 TAIL_EDGES = 50_000  # contracted edges that one task may finish
+HELD_EDGES = 1_000_000  # found edges that a task holds before it thins them out
 
 
 def euclidean_mst(
@@ -151,20 +152,31 @@ def _grow_block(table: pa.Table) -> pa.Table:
 
 
 def _join_blocks(blocks: Blocks, wanted: Wanted) -> pa.Table:
-    """Edges between blocks; of those of all pairs at hand only the ones in their common tree."""
+    """Edges between blocks; of those of all pairs at hand only the ones in their common tree.
+
+    Whenever ``HELD_EDGES`` more are found, those outside the tree of what is at hand go.
+    """
     sides = {}
     for name in sorted({n for pair in wanted for n in pair}):
         tree = columns(blocks[name], "id", "up", "up_w")
         sides[name] = (coordinates(blocks[name]), *tree, bottlenecks(*tree))
-    found = [bridges(sides[a], sides[b]) for a, b in wanted]
+    trees = [(np.minimum(i, up)[up >= 0], np.maximum(i, up)[up >= 0], w[up >= 0]) for _, i, up, w, _ in sides.values()]
+
+    def thinned(found):
+        u, v, w = (np.concatenate(c) for c in zip(*found, *trees))
+        taken = lightest_forest(u, v, w, np.arange(len(u)) < sum(len(f[0]) for f in found))
+        return u[taken], v[taken], w[taken]
+
+    found, held, kept = [], 0, 0
+    for a, b in wanted:
+        found.append(bridges(sides[a], sides[b]))
+        held += len(found[-1][0])
+        if held - kept > HELD_EDGES:
+            found = [thinned(found)]
+            held = kept = len(found[0][0])
     if not found:
         return edge_table([], [], [])
-    if len(found) == 1:
-        return edge_table(*found[0])
-    trees = [(np.minimum(i, up)[up >= 0], np.maximum(i, up)[up >= 0], w[up >= 0]) for _, i, up, w, _ in sides.values()]
-    u, v, w = (np.concatenate(c) for c in zip(*found, *trees))
-    taken = lightest_forest(u, v, w, np.arange(len(u)) < sum(len(f[0]) for f in found))
-    return edge_table(u[taken], v[taken], w[taken])
+    return edge_table(*(found[0] if len(wanted) == 1 else thinned(found)))
 
 
 @dataclass

@@ -224,3 +224,49 @@ def test_pairs_send_a_point_as_often_as_the_cores_ask(make_points, spark, monkey
     assert max(sent for sent, _ in dealt) <= 150 * copies
     monkeypatch.setattr(nearest, "GROUP_CELLS", 30)
     assert edges_of(pairwise_distances(points, block_rows=4)) == sorted(wanted)
+
+
+def test_a_side_of_few_values_does_not_leave_large_nodes(make_points, spark):
+    """Four values against many: the wide side is cut, and blocks of one node need no cut by hash."""
+    from coppice.operators.blocks import place
+    from coppice.store import Store
+
+    rng = np.random.default_rng(10)
+    rows = np.c_[rng.integers(0, 4, 1500), rng.uniform(0, 1e4, 1500)].astype(float)
+    layout = place(make_points(rows), 1500, 2, Store(spark, "test"), 8)
+    assert max(r.chunks for r in layout.summary.collect()) <= 2
+
+
+def test_tasks_follow_the_blocks_that_are_sent(make_points, monkeypatch):
+    """A task gets about one full square of rows, and not more as tiles grow."""
+    from coppice.operators import blocks
+
+    rng = np.random.default_rng(11)
+    rows = rng.normal(size=(200, 12))
+    monkeypatch.setattr(blocks, "GROUP_CELLS", 16 * 42)  # two blocks of eight rows to a side
+    dealt = watched_repartition(monkeypatch)
+    points = make_points(rows)
+    assert edges_of(euclidean_mst(points, 8, one_stage_blocks=1000)) == kruskal(rows, range(200))[0]
+    assert max(sent / parts for sent, parts in dealt) <= 40
+
+
+def test_found_edges_are_thinned_out_on_the_way(monkeypatch):
+    """A task holds few more edges than its points, and gives the same ones."""
+    from coppice.operators import mst
+
+    rng = np.random.default_rng(12)
+    grown = {}
+    for k in range(6):
+        x = rng.integers(0, 30, (20, 2)).astype(float)
+        table = pa.table({
+            "id": np.arange(20) * 6 + k, "features": x.tolist(), "node": np.full(20, k), "chunk": np.zeros(20, dtype=int)
+        })
+        grown[k, 0] = mst._grow_block(table)
+    wanted = [((a, 0), (b, 0)) for a in range(6) for b in range(a + 1, 6)]
+    whole = mst._join_blocks(grown, wanted).to_pylist()
+    sizes, forest = [], mst.lightest_forest
+    monkeypatch.setattr(mst, "HELD_EDGES", 10)
+    monkeypatch.setattr(mst, "lightest_forest", lambda u, *rest: (sizes.append(len(u)), forest(u, *rest))[1])
+    thinned = mst._join_blocks(grown, wanted).to_pylist()
+    assert sorted(map(str, thinned)) == sorted(map(str, whole))
+    assert len(sizes) > 1 and max(sizes) < 120 + 120 + 40 + 10
