@@ -212,14 +212,14 @@ def watched_repartition(monkeypatch):
 
 def test_pairs_send_a_point_as_often_as_the_cores_ask(make_points, spark, monkeypatch):
     """However many blocks there are; and all pairs come once where groups are small or empty."""
-    from coppice.operators import nearest
+    from coppice.operators import blocks, nearest
 
     rng = np.random.default_rng(9)
     rows, ids = rng.integers(0, 9, (150, 3)).astype(float), rng.permutation(600)[:150]
     wanted = [(u, v, w) for w, u, v in pair_list(rows, ids)]
     points = make_points(rows, ids)
     dealt = watched_repartition(monkeypatch)
-    copies = math.isqrt(2 * nearest.SQUARES_PER_CORE * spark.sparkContext.defaultParallelism)
+    copies = math.isqrt(2 * blocks.SQUARES_PER_CORE * spark.sparkContext.defaultParallelism)
     assert edges_of(pairwise_distances(points, block_rows=2)) == sorted(wanted)
     assert max(sent for sent, _ in dealt) <= 150 * copies
     monkeypatch.setattr(nearest, "GROUP_CELLS", 30)
