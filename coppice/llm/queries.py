@@ -92,10 +92,11 @@ def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
-    found = repeats.remove_repeats(table(spark, folder, "documents"))
+    found = repeats.remove_repeats(table(spark, folder, "documents"), passage_words=repeats.PASSAGE_WORDS)
     # Cuts are made between bytes; what is left of a cut character reads as a replacement mark.
     left = F.make_valid_utf8(F.col("kept").cast("string"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", left.alias("text"))
+    # Passages of over 50 words are often shorter than the 400 bytes of a removal; the last column counts their words.
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", left.alias("text"), "n_passage_words")
 
 
 def op9_idstore(spark: SparkSession, folder: str) -> DataFrame:

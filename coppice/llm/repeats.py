@@ -22,13 +22,19 @@ has its windows counted one by one: equal windows are summed up before and after
 shuffle by their digests, and those found twice go back to their segments by a join. So
 no task gets all variants of a name.
 
+*Passages.* On demand the words are counted that stand in a run of so many words that another
+document holds too, whatever its bytes; nothing is removed for them. Windows of words are named as
+windows of bytes are. Equal segments of two documents are shared as a whole; where a name has
+several, equal windows are found by their digests.
+
 What is shuffled: hashes of anchors (one in about 150 bytes), the texts twice, and the
-segments under repeated names.
+segments under repeated names; for passages hashes of anchors (one in about 20 words), the texts
+once more, and digests of the windows under names with several segments.
 
 Edge cases: null and empty texts have no bytes; texts shorter than ``length`` keep all;
 rows are told apart by id and text, so rows that repeat both are copies of each other
 and lose everything from ``length`` bytes on, as do equal texts under other ids; null
-ids are allowed. Columns of other names are not read, and an empty table gives no rows.
+ids are allowed. For passages such rows are one document. Columns of other names are not read, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -42,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coppice.llm.common import per_worker, text_or_empty
+from coppice.llm.common import per_worker, slices, text_or_empty
 from coppice.store import Store
 
 LENGTH = 400
@@ -56,6 +62,11 @@ FLAG_LANES = 64
 STRETCH = 1 << 18
 INDEX_BYTES = 1 << 20
 END = 0xFF  # no byte of UTF-8
+#: Words of a shared passage: over 50.
+PASSAGE_WORDS = 51
+#: Windows of words that are named at a time, and bytes of the texts that are cut into words together.
+WORD_STRETCH = 1 << 16
+GROUP_BYTES = 1 << 19
 
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -447,11 +458,172 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH, hot_segments: int = H
     return _moved(live, store.keep(marks, "marks"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, store: Store | None = None, **options) -> DataFrame:
+# --- passages of words ------------------------------------------------------------
+
+WORD_SEGMENT = "h long, s long, a long, b long, start int, windows int"
+WORD_WINDOW = "h long, s long, lo long, hi long, v long, start int"
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = values ^ (values >> np.uint64(32))
+    values *= np.uint64(0xD6E8FEB86659FD93)
+    return values ^ (values >> np.uint64(32))
+
+
+def _word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start (runs of bytes that are no white space), and their hashes."""
+    word = (raw != 32) & ((raw < 9) | (raw > 13))
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], word.view(np.int8), [0]])))
+    starts, ends = edge[::2], edge[1::2]
+    hashed = np.empty(len(starts), np.uint64)
+    up, down = per_worker("powers", lambda: _powers(STRETCH + (1 << 12)))
+    first = 0
+    while first < len(starts):
+        low = starts[first]
+        last = max(first + 1, int(np.searchsorted(ends, low + STRETCH, "right")))
+        size = ends[last - 1] - low
+        if size >= len(up):  # one word
+            up, down = _powers(size)
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum((raw[low : low + size].astype(np.uint64) + np.uint64(1)) * up[:size], out=sums[1:])
+        here = starts[first:last] - low
+        hashed[first:last] = _mixed((sums[ends[first:last] - low] - sums[here]) * down[here])
+        first = last
+    return starts, hashed
+
+
+def _word_groups(pieces: list[bytes], words: int, gram: int, stretch: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, Iterator]]:
+    """For texts cut together: the number of the first, each word's text, each text's first word, and stretches of windows.
+
+    A stretch is (first window, hashes of grams and of windows, sums of the words, inverse powers).
+    """
+    up, down = per_worker("word_powers", lambda: _powers(WORD_STRETCH + (1 << 12)))
+    if stretch + words > len(up):
+        up, down = _powers(stretch + words)
+    for low, high in slices(pieces, GROUP_BYTES):
+        raw = np.frombuffer(b" ".join(pieces[low:high]), np.uint8)
+        starts, hashed = _word_hashes(raw)
+        offsets = np.concatenate([[0], np.cumsum([len(piece) + 1 for piece in pieces[low : high - 1]], dtype=np.int64)])
+        owner = np.searchsorted(offsets, starts, "right") - 1
+        base = np.searchsorted(owner, np.arange(high - low))
+
+        def stretches():
+            size = len(hashed) - words + 1
+            for at in range(0, max(size, 0), stretch):
+                part = hashed[at : at + stretch + words - 1]
+                sums = np.zeros(len(part) + 1, np.uint64)
+                np.cumsum(part * up[: len(part)], out=sums[1:])
+                grams, windows = (_mixed((sums[k:] - sums[:-k]) * down[: len(part) - k + 1]) for k in (gram, words))
+                yield at, grams, windows, sums, down
+
+        yield low, owner, base, stretches()
+
+
+def _word_segments(words: int, gram: int, stretch: int):
+    """Segments of consecutive windows of words with one name: name, digest, key of the row and place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [field.split()[0] for field in WORD_SEGMENT.split(", ")]
+        for batch in batches:
+            a, b = (batch[c].to_numpy(zero_copy_only=False) for c in ("a", "b"))
+            for low, owner, base, stretches in _word_groups(batch["piece"].to_pylist(), words, gram, stretch):
+                for at, grams, windows, sums, down in stretches:
+                    name = _sliding_least(grams, words - gram + 1)
+                    first, last = (owner[at + k : at + k + len(name)] for k in (0, words - 1))
+                    turns = np.flatnonzero((name[1:] != name[:-1]) | (first[1:] != first[:-1]) | (last[1:] != last[:-1])) + 1
+                    starts = np.concatenate([[0], turns])
+                    counts = np.diff(np.append(starts, len(name)))
+                    inside = first[starts] == last[starts]
+                    starts, counts = starts[inside], counts[inside]
+                    digest = _mixed((sums[starts + counts + words - 1] - sums[starts]) * down[starts] + counts.astype(np.uint64))
+                    row = low + first[starts]
+                    place = (starts + at - base[first[starts]]).astype(np.int32)
+                    columns = (name[starts].view(np.int64), digest.view(np.int64), a[row], b[row], place, counts.astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    return run
+
+
+def _word_windows(words: int, gram: int, stretch: int):
+    """The windows of the listed segments of each row's piece: digest and place in the segment."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [field.split()[0] for field in WORD_WINDOW.split(", ")]
+        for batch in batches:
+            lists = batch["wanted"]
+            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            fields = dict(zip(("h", "s", "lo", "hi", "start", "windows"), (f.to_numpy(zero_copy_only=False) for f in lists.flatten().flatten())))
+            for low, _, base, stretches in _word_groups(batch["piece"].to_pylist(), words, gram, stretch):
+                here = slice(*np.searchsorted(row, [low, low + len(base)]))
+                count = fields["windows"][here]
+                if not len(count):
+                    continue
+                step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                digests = np.concatenate([windows for _, _, windows, _, _ in stretches])
+                v = digests[np.repeat(base[row[here] - low] + fields["start"][here], count) + step].view(np.int64)
+                columns = (*(np.repeat(fields[c][here], count) for c in ("h", "s", "lo", "hi")), v, step.astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    return run
+
+
+def _covered(words: int):
+    """The words of each row in its ranges of windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = []
+            for ranges in batch["ranges"].to_pylist():
+                count = at = 0
+                for start, end in sorted(ranges):
+                    end += words - 1
+                    count += max(0, end - max(at, start))
+                    at = max(at, end)
+                counts.append(count)
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(counts, pa.int64())], ["a", "b", "n_passage_words"])
+
+    return run
+
+
+def shared_passages(rows: DataFrame, words: int = PASSAGE_WORDS, store: Store | None = None, stretch: int = WORD_STRETCH) -> DataFrame:
+    """``a, b, n_passage_words``: words of the rows ``a, b, piece`` in runs of ``words`` words that a row of another ``a`` holds too."""
+    store = store or Store(rows.sparkSession, "passages")
+    gram = max(1, int(words * GRAM))
+    records = store.keep(rows.mapInArrow(_word_segments(words, gram, stretch), WORD_SEGMENT), "word-anchors")
+    lo, hi = F.min("a").alias("lo"), F.max("a").alias("hi")
+    names = records.groupBy("h").agg(lo, hi).where("lo <> hi").select("h")
+    live = store.keep(records.join(names, "h", "left_semi"), "word-records")
+    classes = live.groupBy("h", "s").agg(lo, hi, F.min(F.struct("a", "b", "start", "windows")).alias("at"))
+    classes = store.keep(classes, "word-segments")
+
+    several = classes.groupBy("h").count().where("count > 1").select("h")
+    place = [F.col(f"at.{c}").alias(c) for c in ("start", "windows")]
+    lists = classes.join(several, "h", "left_semi").groupBy(F.col("at.a").alias("a"), F.col("at.b").alias("b"))
+    lists = lists.agg(F.collect_list(F.struct("h", "s", "lo", "hi", *place)).alias("wanted"))
+    windows = rows.join(lists, ["a", "b"]).select("piece", "wanted").mapInArrow(_word_windows(words, gram, stretch), WORD_WINDOW)
+    windows = store.keep(windows, "word-windows")
+    twice = windows.groupBy("h", "v").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("h", "v")
+    parts = windows.where("lo = hi").join(twice, ["h", "v"], "left_semi")
+    parts = parts.groupBy("h", "s").agg(F.collect_set("start").alias("starts")).mapInArrow(_runs, MARKS)
+    whole = classes.where("lo <> hi").select("h", "s", F.array(F.array(F.lit(0), F.col("at.windows"))).alias("ranges"))
+    marks = store.keep(whole.union(parts), "word-marks")
+    return _moved(live, marks).mapInArrow(_covered(words), "a long, b long, n_passage_words long")
+
+
+def remove_repeats(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    store: Store | None = None,
+    passage_words: int | None = None,
+    **options,
+) -> DataFrame:
     """``id_col, n_bytes, n_removed, n_spans, kept, kept_sha256`` for every row.
 
     ``kept`` are the remaining bytes; cuts are made between bytes, so they need not be
-    whole characters.
+    whole characters. With ``passage_words`` there is also ``n_passage_words``, the words in
+    runs of so many words that another document holds too, removed or not.
     """
     store = store or Store(docs.sparkSession, "repeats")
     text = text_or_empty(text_col)
@@ -462,7 +634,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.encode(text, "UTF-8").alias("piece"),
     )
     ranges = repeated_ranges(rows.select("a", "b", "piece"), length, store=store, **options)
-    joined = rows.join(ranges, ["a", "b"], "left").select("id", "piece", "ranges")
+    more = []
+    if passage_words:
+        passages = shared_passages(rows.select("a", "b", "piece"), passage_words, store)
+        ranges = ranges.join(passages, ["a", "b"], "full_outer")
+        more = [F.coalesce("n_passage_words", F.lit(0).cast("long")).alias("n_passage_words")]
+    joined = rows.join(ranges, ["a", "b"], "left").select("id", "piece", "ranges", *more)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -479,10 +656,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 for column, value in zip(columns, row):
                     column.append(value)
             kinds = [pa.int64()] * 3 + [pa.binary(), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"], *(pa.array(c, t) for c, t in zip(columns, kinds))], ["id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"]
-            )
+            names = ["id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", *batch.schema.names[3:]]
+            yield pa.RecordBatch.from_arrays([batch["id"], *(pa.array(c, t) for c, t in zip(columns, kinds)), *batch.columns[3:]], names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = joined.mapInArrow(cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    schema = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
+    out = joined.mapInArrow(cut, schema + ", n_passage_words long" * bool(more))
     return out.withColumnRenamed("id", id_col)

@@ -206,6 +206,53 @@ def test_no_index_holds_all_variants_of_a_name(spark, monkeypatch):
     assert len(most) == 2 and max(most) <= 8
 
 
+def plain_passages(rows, size):
+    """Words of each row in runs of ``size`` words that a row of another id or text holds too."""
+    cut = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode()) for _, t in rows]
+    holders = {}
+    for row, ws in zip(rows, cut):
+        for k in range(len(ws) - size + 1):
+            holders.setdefault(tuple(ws[k : k + size]), set()).add((row[0], row[1] or ""))
+    out = []
+    for (doc, _), ws in zip(rows, cut):
+        hit = np.zeros(len(ws), bool)
+        for k in range(len(ws) - size + 1):
+            if len(holders[tuple(ws[k : k + size])]) > 1:
+                hit[k : k + size] = True
+        out.append((doc, int(hit.sum())))
+    return Counter(out)
+
+
+def test_passages_by_brute_force(spark, tables, edges):
+    rng = np.random.default_rng(21)
+    some = lambda n, of=40: " ".join(f"w{k}" for k in rng.integers(0, of, n))
+    base = some(300)
+    rows = [(k, f"{some(int(rng.integers(0, 60)), 900)} {' '.join(base.split()[k : k + 30])}\n{some(9, 900)}") for k in range(60)]
+    rows += [(100 + k, base.replace(f"w{k} ", f"é{k}\t ")) for k in range(40)]
+    rows += [(150, base), (151, base), (151, base), (None, base), (152, "and " * 90), (153, "one line again " * 50), (154, "x" * 300_000 + " " + base)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for frame, size in ((docs, 12), (edges, 3), (tables("documents"), 51)):
+        found = repeats.remove_repeats(frame, passage_words=size).select("doc_id", "n_passage_words")
+        assert Counter(tuple(r) for r in found.collect()) == plain_passages(texts_of(frame), size)
+    # Windows across the ends of stretches.
+    keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("a"), F.lit(0).cast("long").alias("b"), F.encode("text", "UTF-8").alias("piece"))
+    counted = repeats.shared_passages(keyed.drop("doc_id"), 3, stretch=50)
+    found = keyed.join(counted, ["a", "b"], "left").select("doc_id", F.coalesce("n_passage_words", F.lit(0)))
+    assert Counter(tuple(r) for r in found.collect()) == plain_passages(texts_of(docs), 3)
+
+
+def test_passages_shorter_than_a_removal_are_seen(spark, tmp_path):
+    """The query tells rows that share over 50 words of less than 400 bytes; 50 words are no such passage."""
+    rng = np.random.default_rng(22)
+    some = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(n))
+    long, short = some(51), some(50)
+    rows = [(k, f"{some(40)} {long} {some(60)}") for k in range(3)] + [(k, f"{some(30)} {short} {some(20)}") for k in range(3, 6)]
+    rows += [(6, None), (7, some(200)), (8, long + " " + long)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: (r["n_removed"], r["n_passage_words"]) for r in Q.op8_repeats(spark, str(tmp_path)).collect()}
+    assert found == {k: (0, 51 if k < 3 else 102 if k == 8 else 0) for k in range(9)}
+
+
 def test_run_length_index():
     rng = np.random.default_rng(4)
     for size, letters in ((1, 1), (5, 1), (200, 1), (300, 2), (300, 4), (64, 3)):
