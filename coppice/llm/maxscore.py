@@ -9,8 +9,10 @@ non-essential. Essential postings are traversed for all vectors of the shard; th
 others are probed, term by term, only for vectors that are still competitive. The
 best k of each shard are merged.
 
-The queries are a stated set; they go in blocks to all shards, the shards to one task
-each. Vectors and queries are packed by tasks, so nothing passes through the driver.
+The queries are a stated set; they go to all shards, the shards to one task each. A task
+reads the vectors of a shard and then its queries as a stream of rows: it holds one shard,
+one batch of queries and the answers to one block of them, and nothing passes through the
+driver.
 
 Edge cases: vectors that are null or hold null or non-finite components take no part;
 vectors of another length than a query's are no candidates of it; rows that repeat id
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SCALE = 256
-#: Vectors in a shard and queries in a block, on average; a shard of 64 coordinates takes 4 MB.
+#: Vectors in a shard, on average, and queries answered in one batch; a shard of 64 coordinates takes 4 MB.
 SHARD_ROWS = 8_192
 BLOCK_ROWS = 512
 #: Terms probed before the candidates are looked through again.
@@ -91,60 +93,51 @@ class Postings:
         return int((query @ self.values[:, some]).min())
 
 
-def _packed(rows: DataFrame, part: str) -> DataFrame:
-    """``part, dim, ids, x``: the vectors of a part and length as raw integers."""
-
-    def pack(keys: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        ids = table["id"].to_numpy()
-        flat = table["x"].combine_chunks().flatten().to_numpy()
-        row = {part: [keys[0].as_py()], "dim": [keys[1].as_py()]}
-        row |= {"ids": [ids.astype("<i8").tobytes()], "x": [flat.astype("<i8").tobytes()]}
-        return pa.table(row, schema=pa.schema([(part, pa.int32()), ("dim", pa.int32()), ("ids", pa.binary()), ("x", pa.binary())]))
-
-    schema = f"{part} int, dim int, ids binary, x binary"
-    return rows.groupBy(part, "dim").applyInArrow(pack, schema)
-
-
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``query_id, rank, id, score``: the k best inner products of each query over all vectors.
 
     Both frames have ``id long, x array<long>``; a row with the query's id is left out.
     """
     shards = max(1, -(-vectors.count() // shard_rows))
-    blocks = max(1, -(-queries.count() // block_rows))
-
-    def dealt(rows: DataFrame, part: str, parts: int) -> DataFrame:
-        number = F.pmod(F.xxhash64("id", "x"), F.lit(parts)).cast("int")
-        return _packed(rows.select(number.alias(part), F.size("x").alias("dim"), "id", "x"), part)
-
     vectors, queries = vectors.dropDuplicates(["id", "x"]), queries.dropDuplicates(["id", "x"])
-    held = dealt(vectors, "shard", shards)
-    asked = dealt(queries, "block", blocks).withColumnsRenamed({"ids": "query_ids", "x": "q"})
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    pairs = asked.join(held, ["shard", "dim"])
+    number = F.pmod(F.xxhash64("id", "x"), F.lit(shards)).cast("int")
+    held = vectors.select(number.alias("shard"), F.size("x").alias("dim"), F.lit(False).alias("asked"), "id", "x")
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    asked = queries.select(every, F.size("x").alias("dim"), F.lit(True).alias("asked"), "id", "x")
+    # A shard's vectors come first, then the queries row by row: no batch holds more than its rows.
+    rows = held.unionByName(asked).repartitionById(shards, "shard").sortWithinPartitions("shard", "dim", "asked")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, postings = None, None
+        name, ids, parts, postings = None, [], [], None
         for batch in batches:
-            for row in range(batch.num_rows):
-                pair = {c: batch[c][row].as_py() for c in ("shard", "dim", "query_ids", "q")}
-                dim = pair["dim"]
-                if (pair["shard"], dim) != name:
-                    name = (pair["shard"], dim)
-                    ids = np.frombuffer(batch["ids"][row].as_py(), "<i8")
-                    postings = Postings(ids, np.frombuffer(batch["x"][row].as_py(), "<i8").reshape(-1, dim))
-                query_ids = np.frombuffer(pair["query_ids"], "<i8")
-                found = [
-                    (query_id, *postings.search(query_id, query, k))
-                    for query_id, query in zip(query_ids, np.frombuffer(pair["q"], "<i8").reshape(-1, dim))
-                ]
-                columns = [
-                    np.concatenate([np.full(len(ids), query_id) for query_id, ids, _ in found]),
-                    np.concatenate([ids for _, ids, _ in found]),
-                    np.concatenate([scores for _, _, scores in found]),
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["query_id", "id", "score"])
-
-    found = pairs.mapInArrow(search, "query_id long, id long, score long")
+            shard, dim, asks, id_ = (batch[c].to_numpy(zero_copy_only=False) for c in ("shard", "dim", "asked", "id"))
+            flat = batch["x"].flatten().to_numpy()
+            ends = np.cumsum(dim, dtype=np.int64)
+            turns = (shard[1:] != shard[:-1]) | (dim[1:] != dim[:-1]) | (asks[1:] != asks[:-1])
+            cuts = np.r_[0, np.flatnonzero(turns) + 1, len(dim)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if (shard[lo], dim[lo]) != name:
+                    name, ids, parts, postings = (shard[lo], dim[lo]), [], [], None
+                some = flat[ends[lo] - dim[lo] : ends[hi - 1]].reshape(hi - lo, -1)
+                if not asks[lo]:
+                    # Copies, so that no batch is kept alive.
+                    ids, parts = [*ids, id_[lo:hi].copy()], [*parts, some.copy()]
+                    continue
+                if not ids:
+                    continue
+                if postings is None:
+                    postings = Postings(np.concatenate(ids), np.concatenate(parts))
+                    parts = []
+                for at in range(0, hi - lo, block_rows):
+                    block = slice(at, at + block_rows)
+                    found = [(q, *postings.search(q, query, k)) for q, query in zip(id_[lo:hi][block], some[block])]
+                    columns = [
+                        np.concatenate([np.full(len(ids_), q) for q, ids_, _ in found]),
+                        np.concatenate([ids_ for _, ids_, _ in found]),
+                        np.concatenate([scores for _, _, scores in found]),
+                    ]
+                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["query_id", "id", "score"])
+
+    found = rows.mapInArrow(search, "query_id long, id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")

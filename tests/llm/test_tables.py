@@ -313,6 +313,27 @@ def test_search_edges(spark):
     assert maxscore.top_k(vectors.limit(0), vectors.limit(0), 5).collect() == []
 
 
+def test_search_sends_no_shard_again_for_a_block(spark, monkeypatch):
+    """Rows to the workers are single vectors, and a shard's vectors are sent once however many blocks of queries there are."""
+    frame, sent = type(spark.range(0)), []
+    run = frame.mapInArrow
+
+    def seen(self, *args, **kwargs):
+        sent.append(self)
+        return run(self, *args, **kwargs)
+
+    monkeypatch.setattr(frame, "mapInArrow", seen)
+    rng = np.random.default_rng(9)
+    vectors = spark.createDataFrame([(k, rng.integers(-9, 9, 8).tolist()) for k in range(200)], "id long, x array<bigint>")
+    found = maxscore.top_k(vectors, vectors.where("id % 2 = 0"), 3, shard_rows=50, block_rows=4).collect()
+    assert len(found) == 300
+    (rows,) = sent
+    size = sum(F.length(c) if t == "binary" else 8 * F.size(c) if t.startswith("array") else F.lit(8) for c, t in rows.dtypes)
+    facts = rows.agg(F.max(size).alias("most"), F.sum(size).alias("all")).first()
+    assert facts["most"] <= 8 * (8 + len(rows.columns))
+    assert facts["all"] <= (200 + 4 * 100) * facts["most"]
+
+
 # --- id store ----------------------------------------------------------------
 
 
